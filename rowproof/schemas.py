@@ -2,22 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "money": DecimalType(15, 2),
+    "string": StringType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+}
 
 
-def _schema(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def schema_of(text: str) -> StructType:
+    """Schema from ``name type, name type, ...``; needs no running session."""
+    result = StructType()
+    for column in text.split(","):
+        name, kind = column.split()
+        result = result.add(name, _TYPES[kind])
+    return result
 
 
 # Lobbying file, as read.
-LOBBYING_FILE = _schema(
+LOBBYING_FILE = schema_of(
     """
     form_submission_id int, reporting_year int, filing_type string, reporting_period string,
     principal_lobbyist_name string, contractual_client_name string,
     beneficial_client_name string, individual_lobbyist_name string,
-    compensation decimal(15,2), reimbursed_expenses decimal(15,2),
-    expenses_less_than_75 decimal(15,2), lobbying_expenses_for_non decimal(15,2),
-    itemized_expenses decimal(15,2), expense_type string, expense_paid_to string,
+    compensation money, reimbursed_expenses money,
+    expenses_less_than_75 money, lobbying_expenses_for_non money,
+    itemized_expenses money, expense_type string, expense_paid_to string,
     expense_reimbursed_by_client string, expense_purpose string, expense_date timestamp,
     lobbying_subjects string, level_of_government string, lobbying_focus_type string,
     focus_identifying_number string, type_of_lobbying_communication string,
@@ -26,14 +50,14 @@ LOBBYING_FILE = _schema(
 )
 
 # Processed lobbying records; record_id and created_at are added on load.
-LOBBYING_TARGET = _schema(
+LOBBYING_TARGET = schema_of(
     """
     form_submission_id int, reporting_year int, filing_type string, reporting_period string,
     principal_lobbyist_name string, contractual_client_name string,
     beneficial_client_name string, individual_lobbyist_name string,
-    compensation decimal(15,2), reimbursed_expenses decimal(15,2),
-    expenses_less_than_75 decimal(15,2), lobbying_expenses_for_non decimal(15,2),
-    itemized_expenses decimal(15,2), total_financials decimal(15,2), expense_type string,
+    compensation money, reimbursed_expenses money,
+    expenses_less_than_75 money, lobbying_expenses_for_non money,
+    itemized_expenses money, total_financials money, expense_type string,
     expense_paid_to string, expense_reimbursed_by_client string, expense_purpose string,
     expense_date date, lobbying_subjects string, level_of_government string,
     lobbying_focus_type string, focus_identifying_number string,
@@ -55,13 +79,13 @@ REGISTRATION_TYPES = {
 
 # Error and run repository. Run events are append-only; the state of a run is its newest
 # value per field.
-RECORD_ERRORS = _schema("record_id string, processing_file_id bigint, record_text string")
-COLUMN_ERRORS = _schema(
+RECORD_ERRORS = schema_of("record_id string, processing_file_id bigint, record_text string")
+COLUMN_ERRORS = schema_of(
     "record_id string, processing_file_id bigint, column_name string, error_code int"
 )
-FILE_NAMES = _schema("processing_file_id bigint, processing_file_name string")
-FILE_SCHEMAS = _schema("file_schema_id int, file_category_name string, schema_text string")
-RUN_EVENTS = _schema(
+FILE_NAMES = schema_of("processing_file_id bigint, processing_file_name string")
+FILE_SCHEMAS = schema_of("file_schema_id int, file_category_name string, schema_text string")
+RUN_EVENTS = schema_of(
     """
     processing_file_id bigint, event_time timestamp, file_schema_id int,
     time_of_arrival timestamp, process_start_time timestamp, process_end_time timestamp,
@@ -71,35 +95,35 @@ RUN_EVENTS = _schema(
 )
 
 # Star schema.
-MAKE_DIM = _schema("make_id bigint, make string")
-MODEL_DIM = _schema("model_id bigint, model string")
-PRIMARY_USE_DIM = _schema("primary_use_id bigint, primary_use string")
-ELECTRIC_UTILITY_DIM = _schema("electric_utility_id bigint, electric_utility_name string")
-STATE_DIM = _schema("state_id bigint, state string")
-TRANSACTION_TYPE_DIM = _schema("transaction_type_id bigint, transaction_type string")
-FEE_DIM = _schema(
+MAKE_DIM = schema_of("make_id bigint, make string")
+MODEL_DIM = schema_of("model_id bigint, model string")
+PRIMARY_USE_DIM = schema_of("primary_use_id bigint, primary_use string")
+ELECTRIC_UTILITY_DIM = schema_of("electric_utility_id bigint, electric_utility_name string")
+STATE_DIM = schema_of("state_id bigint, state string")
+TRANSACTION_TYPE_DIM = schema_of("transaction_type_id bigint, transaction_type string")
+FEE_DIM = schema_of(
     """
     fee_id bigint, electric_vehicle_fee string, transportation_electrification_fee string,
     hybrid_vehicle_fee string
     """
 )
-CITY_DIM = _schema("city_id bigint, city string, state_id bigint")
-LOCATION_DIM = _schema("location_id bigint, city_id bigint, state_id bigint, county string")
-TIME_DIM = _schema("full_date date, year int, quarter int, month int, day_of_week string")
-VEHICLE_DIM = _schema(
+CITY_DIM = schema_of("city_id bigint, city string, state_id bigint")
+LOCATION_DIM = schema_of("location_id bigint, city_id bigint, state_id bigint, county string")
+TIME_DIM = schema_of("full_date date, year int, quarter int, month int, day_of_week string")
+VEHICLE_DIM = schema_of(
     """
     vehicle_id bigint, dol_vehicle_id bigint, vin_prefix string, model_year int,
     make_id bigint, model_id bigint, primary_use_id bigint, electric_utility_id bigint
     """
 )
-FACTS = _schema(
+FACTS = schema_of(
     """
     vehicle_id bigint, transaction_date date, sale_date date, location_id bigint,
     transaction_type_id bigint, base_msrp int, sale_price int, odometer_reading int,
     electric_range int, fee_id bigint
     """
 )
-FACTS_BY_TYPE_NAME = _schema(
+FACTS_BY_TYPE_NAME = schema_of(
     """
     vehicle_id bigint, transaction_date date, sale_date date, location_id bigint,
     transaction_type string, base_msrp int, sale_price int, odometer_reading int,
