@@ -12,7 +12,7 @@ from rowproof.operators.identity import assign_ids
 from rowproof.operators.lookup import lookup
 from rowproof.operators.novelty import new_rows, reconcile, rows_only_in
 from rowproof.plans import staging, warehouse
-from rowproof.session import scratch_path
+from rowproof.session import scratch_path, settle
 from rowproof.sources.calendar import days_between, with_calendar_parts
 from rowproof.sources.tables import ParquetStore
 
@@ -282,6 +282,11 @@ def _store(spark: SparkSession, label: str) -> ParquetStore:
     return ParquetStore(scratch_path(spark, label))
 
 
+def _registration_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registrations as a columnar table, as a finished cleaning run leaves them."""
+    return settle(_registrations(spark, sf_dir), "registrations")
+
+
 def _two_batches(df: DataFrame) -> list[DataFrame]:
     return [df.filter(F.col("Year") <= LOADED_UNTIL[:4]), df]
 
@@ -312,7 +317,7 @@ def load_independent_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vin_dim", "vin_id", ("vin",), schemas.schema_of("vin_id bigint, vin string")
     )
     store = _store(spark, "load-vin")
-    for batch in _two_batches(_registrations(spark, sf_dir)):
+    for batch in _two_batches(_registration_table(spark, sf_dir)):
         warehouse.load_dim(spark, store, dim, staging.stage_single(batch, "VIN (1-10)", "vin"))
     return warehouse.read_dim(spark, store, dim)
 
@@ -346,7 +351,7 @@ _LOCATION_IDS = f"""
 @check("load_city_dim", f"SELECT city_id, city, state_id FROM ({_CITY_IDS}) AS c")
 def load_city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "load-city")
-    for batch in _two_batches(_registrations(spark, sf_dir)):
+    for batch in _two_batches(_registration_table(spark, sf_dir)):
         _load_places(spark, store, batch)
     return warehouse.read_dim(spark, store, warehouse.CITY)
 
@@ -357,7 +362,7 @@ def load_city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def load_location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "load-location")
-    for batch in _two_batches(_registrations(spark, sf_dir)):
+    for batch in _two_batches(_registration_table(spark, sf_dir)):
         _load_places(spark, store, batch)
     return warehouse.read_dim(spark, store, warehouse.LOCATION)
 
@@ -403,7 +408,7 @@ _VEHICLE_IDS = f"""
 def load_vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded twice from all rows; the second load adds nothing."""
     store = _store(spark, "load-vehicle")
-    df = _registrations(spark, sf_dir)
+    df = _registration_table(spark, sf_dir)
     _load_vehicles(spark, store, df)
     _load_vehicles(spark, store, df)
     return warehouse.read_dim(spark, store, warehouse.VEHICLE)
@@ -455,7 +460,7 @@ def _same(*columns: str) -> str:
 )
 def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "load-fact")
-    df = _registrations(spark, sf_dir)
+    df = _registration_table(spark, sf_dir)
     _load_all_dims(spark, store, df)
     for batch in _two_batches(df):
         warehouse.load_fact(spark, store, staging.stage_fact(batch))
@@ -474,7 +479,7 @@ def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def load_fact_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "load-fact-drop")
-    df = _registrations(spark, sf_dir)
+    df = _registration_table(spark, sf_dir)
     _load_all_dims(spark, store, df)
     for batch in _two_batches(df):
         warehouse.load_fact_by_type_name(spark, store, staging.stage_fact(batch))

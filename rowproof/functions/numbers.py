@@ -15,7 +15,7 @@ MONEY = "decimal(15,2)"
 def to_int(text: Column, kind: str = "int") -> Column:
     """Integer from text; a fraction is cut off and anything else unreadable is null."""
     digits = F.regexp_extract(F.trim(text.cast("string")), r"^([+-]?\d+)(\.\d*)?$", 1)
-    return digits.try_cast(kind)
+    return F.nullif(digits, F.lit("")).try_cast(kind)
 
 
 def money_total(columns: Iterable[str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowproof.functions.columns import named
 from rowproof.operators.rules import has_reference
 from rowproof.operators.validate import Validation, validate
-from rowproof.session import settle
+from rowproof.session import settle_measured
 
 
 class MissingReferences(ValueError):
@@ -71,8 +71,9 @@ def resolve_references(df: DataFrame, ids: Sequence[str], on_missing: str = "fai
         return df.dropna(subset=list(ids))
     if on_missing != "fail":
         raise ValueError("on_missing must be 'fail' or 'drop'")
-    joined = settle(df, "references")
-    counts = missing_counts(joined, ids).first().asDict()
+    lacking = {name: F.count_if(named(name).isNull()) for name in ids}
+    joined, measured = settle_measured(df, "references", **lacking)
+    counts = {name: measured[name] for name in ids}
     if any(counts.values()):
         raise MissingReferences(counts)
     return joined

@@ -20,6 +20,7 @@ from rowproof.operators.lookup import lookup, resolve_references
 from rowproof.operators.metrics import counted_write
 from rowproof.operators.novelty import new_rows
 from rowproof.reference_data import FEE_COLUMNS
+from rowproof.session import settle_measured
 from rowproof.sources.tables import TableStore
 
 
@@ -94,10 +95,15 @@ def load_dim(
         rows = rows.dropna(subset=list(dim.natural_key))
     existing = read_dim(spark, store, dim)
     fresh = new_rows(one_per_key(rows, dim.natural_key), existing, dim.natural_key)
-    if dim.id_column and not store.assigns_ids:
+    if dim.id_column is None or store.assigns_ids:
+        return counted_write(fresh, lambda df: store.append(df, dim.table))
+    fresh, measured = settle_measured(fresh, "new-members")
+    added = measured["rows"]
+    if added:
         last = existing.agg(F.max(dim.id_column)).first()[0] or 0
-        fresh = assign_ids(fresh, dim.id_column, dim.natural_key, start=last)
-    return counted_write(fresh, lambda df: store.append(df, dim.table))
+        numbered = assign_ids(fresh, dim.id_column, dim.natural_key, start=last, rows=added)
+        store.append(numbered, dim.table)
+    return added
 
 
 def city_rows(df: DataFrame, state_dim: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Run-time settings every plan here relies on. Joins carry no size-blind broadcast
 # hint: the planner broadcasts a side only when its known or measured size is under
@@ -70,14 +70,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
     Cuts lineage so that lost executors re-read files instead of recomputing, fixes
     values that depend on row placement, and gives the planner the true size.
     """
+    return settle_measured(df, label)[0]
+
+
+def settle_measured(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`settle`, with aggregates taken while writing; ``rows`` is always among them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    schema = df.schema
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    measures = {"rows": F.count(F.lit(1)), **metrics}
+    observation = Observation()
+    observed = df.observe(observation, *[value.alias(name) for name, value in measures.items()])
+    observed.write.parquet(path)
+    measured = observation.get
+    settled = spark.read.schema(df.schema).parquet(path)
+    return settled, {name: measured.get(name) or 0 for name in measures}

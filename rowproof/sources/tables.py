@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rowproof.session import path_exists
+
 # SQL states of "no such table" in common databases.
 MISSING_TABLE_STATES = {"42S02", "42P01", "42X05", "S0002"}
 
@@ -20,15 +22,17 @@ class TableStore(Protocol):
     assigns_ids: bool
 
     def read(
-        self, spark: SparkSession, table: str, schema: StructType | str,
+        self, spark: SparkSession, table: str, schema: StructType,
         columns: Sequence[str] | None = None,
     ) -> DataFrame: ...
 
     def append(self, df: DataFrame, table: str) -> None: ...
 
 
-def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows; the planner sees that and drops joins against it."""
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(1).select(*nothing).filter(F.lit(False))
 
 
 def _only(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -46,16 +50,13 @@ class ParquetStore:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(
-        self, spark: SparkSession, table: str, schema: StructType | str,
+        self, spark: SparkSession, table: str, schema: StructType,
         columns: Sequence[str] | None = None,
     ) -> DataFrame:
-        try:
-            df = spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            df = empty_table(spark, schema)
-        return _only(df, columns)
+        path = self.path(table)
+        if path_exists(spark, path):
+            return _only(spark.read.schema(schema).parquet(path), columns)
+        return _only(empty_table(spark, schema), columns)
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(self.path(table))
@@ -79,7 +80,7 @@ class JdbcStore:
         return f"{self.prefix}.{table}" if self.prefix else table
 
     def read(
-        self, spark: SparkSession, table: str, schema: StructType | str,
+        self, spark: SparkSession, table: str, schema: StructType,
         columns: Sequence[str] | None = None,
     ) -> DataFrame:
         parallel = dict(self.partitioning.get(table, {}))
