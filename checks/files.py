@@ -50,7 +50,7 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     path = scratch_path(spark, "csv-roundtrip")
     write_csv(df, path)
-    return read_csv(spark, path, df.schema, multi_line=True, maxCharsPerColumn="-1")
+    return read_csv(spark, path, df.schema, multi_line=True)
 
 
 _DAILY = """

@@ -52,7 +52,7 @@ def dim_lookup_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     keys = ["l_returnflag", "l_linestatus", "l_linenumber"]
     known = lines.filter("l_returnflag <> 'N'")
-    flags = known.groupBy(*keys).agg(F.min("l_suppkey").alias("flag_id"))
+    flags = settle(known.groupBy(*keys).agg(F.min("l_suppkey").alias("flag_id")), "flags")
     rows = lines.select("l_orderkey", "l_partkey", *keys)
     found = lookup(rows, flags, {key: key for key in keys}, {"flag_id": "flag_id"})
     return found.drop("l_returnflag", "l_linestatus")

@@ -97,14 +97,15 @@ def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT '{"error": "Duplicate records found"}' AS record_text
         FROM repeated HAVING count(*) > 0
     )
-    SELECT md5('1|1|' || record_text) AS record_id, 1 AS processing_file_id, record_text,
+    SELECT md5('1|1|' || record_text) AS record_id, 1 AS processing_file_id,
            'N/A' AS column_name, 1015 AS error_code
     FROM entry
     """,
 )
 def validate_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = duplicate_ledger(count_copies(shape(spark, sf_dir, "orders_redelivered")), FILE_ID)
-    return ledger.records.join(ledger.columns, ["record_id", "processing_file_id"])
+    """One ledger entry stands for all copies of the file."""
+    counted = count_copies(shape(spark, sf_dir, "orders_redelivered"))
+    return duplicate_ledger(counted, FILE_ID).columns
 
 
 @check(
@@ -433,7 +434,7 @@ _REGISTRY = """
 def category_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files named after their source; the registry knows some sources."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    registry = spark.sql(_REGISTRY, documents=documents)
+    registry = settle(spark.sql(_REGISTRY, documents=documents), "registry")
     file_name = F.concat_ws("_", "source", F.col("doc_id").cast("string"))
     files = documents.select("doc_id", category_of(file_name).alias("category"))
     return with_registered_category(files, registry)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.functions.columns import named, named_all
+from rowproof.operators.novelty import new_rows
 
 COPIES = "_copies"
 
@@ -61,5 +62,8 @@ def expand_copies(df: DataFrame, ordinal: str = "ordinal", chunk: int = 100_000)
 
 
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right``; nulls are equal."""
-    return left.subtract(right)
+    """Distinct rows of ``left`` that are not in ``right``; nulls are equal.
+
+    Copies are removed from both sides before they meet in a join.
+    """
+    return new_rows(distinct_rows(left), right, left.columns)

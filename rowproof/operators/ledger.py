@@ -67,11 +67,15 @@ def record_id(file_id: Column, ordinal: Column, text: Column) -> Column:
 
 
 def numbered_rejects(
-    validation: Validation, file_id: int | Column, columns: Sequence[str] | None = None
+    validation: Validation,
+    file_id: int | Column,
+    columns: Sequence[str] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Rejected rows as record_id, processing_file_id, record_text and findings.
 
     ``columns`` are those of the record text, by default all of the validated frame.
+    ``distinct`` says that no row has a copy, which saves the shuffle of the count.
 
     Equal rejected rows are counted first and numbered afterwards, so that no window has
     to hold all copies of a row.
@@ -82,7 +86,10 @@ def numbered_rejects(
         record_json(columns or validation.source.columns).alias("record_text"),
         FINDINGS,
     )
-    rows = expand_copies(count_copies(texts))
+    if distinct:
+        rows = texts.withColumn("ordinal", F.lit(1))
+    else:
+        rows = expand_copies(count_copies(texts))
     return rows.select(
         record_id(F.col("processing_file_id"), F.col("ordinal"), F.col("record_text")).alias(
             "record_id"

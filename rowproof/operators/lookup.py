@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowproof.functions.columns import named
+from rowproof.functions.columns import named, named_all
 from rowproof.operators.rules import has_reference
 from rowproof.operators.validate import Validation, validate
 from rowproof.session import settle_measured
@@ -40,15 +41,17 @@ def lookup(
     keys = [named(key).alias(f"_key{i}") for i, key in enumerate(on.values())]
     taken = [named(source).alias(name) for source, name in take.items()]
     right = dim.select(*keys, *taken)
+    names = [f"_key{i}" for i in range(len(keys))]
     if unique:
-        names = [f"_key{i}" for i in range(len(keys))]
         best = F.min(F.struct(*[named(name) for name in take.values()])).alias("_best")
-        right = right.groupBy(*names).agg(best).select(*names, "_best.*")
-    matches = [named(key) == F.col(f"_key{i}") for i, key in enumerate(on)]
-    condition = matches[0]
-    for match in matches[1:]:
-        condition = condition & match
-    return df.join(right, condition, "left").drop(*[f"_key{i}" for i in range(len(keys))])
+        right = right.dropna(subset=names).groupBy(*names).agg(best)
+        # Joining on structs gives each side its own shuffle, which hot keys can be split in.
+        right = right.select(F.struct(*names).alias("_key"), "_best.*")
+        return df.join(right, F.struct(*named_all(on)) == F.col("_key"), "left").drop("_key")
+    condition = reduce(
+        lambda a, b: a & b, [named(key) == F.col(name) for key, name in zip(on, names)]
+    )
+    return df.join(right, condition, "left").drop(*names)
 
 
 def reference_check(df: DataFrame, ids: Sequence[str]) -> Validation:

@@ -17,15 +17,17 @@ def new_rows(
 
     ``null_safe`` treats null key parts as equal, so a row with a null key is new only
     once; without it such a row is always new. Keys of ``existing`` are made distinct
-    with map-side combine first, so a hot key there reaches the join as one row; hot keys
-    of ``incoming`` are split by adaptive skew handling.
+    with map-side combine first, so a hot key there reaches the join as one row.
+
+    The join compares structs, in which null equals null. Their hash differs from that of
+    the distinct keys, so each side gets a shuffle of its own, and adaptive execution can
+    split the hot keys of ``incoming``.
     """
-    if null_safe:
-        # Structs compare field by field with null equal to null, as a plain equi-key.
-        known = existing.select(F.struct(*named_all(keys)).alias("_known")).distinct()
-        return incoming.join(known, F.struct(*named_all(keys)) == F.col("_known"), "left_anti")
-    known = existing.select(*named_all(keys)).distinct()
-    return incoming.join(known, list(keys), "left_anti")
+    known = existing.select(*named_all(keys))
+    if not null_safe:
+        known = known.dropna()
+    known = known.distinct().select(F.struct(*named_all(keys)).alias("_known"))
+    return incoming.join(known, F.struct(*named_all(keys)) == F.col("_known"), "left_anti")
 
 
 def _has_null_key(keys: Sequence[str]) -> Column:

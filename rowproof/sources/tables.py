@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowproof.session import path_exists
+from rowproof.session import path_exists, settle
 
 # SQL states of "no such table" in common databases.
 MISSING_TABLE_STATES = {"42S02", "42P01", "42X05", "S0002"}
@@ -66,6 +66,9 @@ class ParquetStore:
 class JdbcStore:
     """Tables of a database. ``properties`` (user, password, driver) come from the caller.
 
+    A read is settled: the database is asked once, however often the frame is used, and
+    the planner learns the size of the table, which JDBC does not tell.
+
     ``partitioning`` maps a table to the ``column``, ``lowerBound``, ``upperBound`` and
     ``numPartitions`` of a parallel scan; other tables are read by one task.
     """
@@ -91,8 +94,8 @@ class JdbcStore:
         except Exception as error:
             if not is_missing_table(error):
                 raise
-            df = empty_table(spark, schema)
-        return _only(df, columns)
+            return _only(empty_table(spark, schema), columns)
+        return settle(_only(df, columns), "table")
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.jdbc(
