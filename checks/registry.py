@@ -97,7 +97,9 @@ SHAPES["registrations"] = """
            NULLIF(c_mktsegment, 'MACHINERY') AS `County`,
            CAST(c_nationkey AS STRING) AS `Postal Code`,
            CAST(n_regionkey AS STRING) AS `Legislative District`,
-           o_orderpriority AS `Transaction Type`,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'Original Title'
+                WHEN '2-HIGH' THEN 'Transfer Title' WHEN '3-MEDIUM' THEN 'Registration Renewal'
+                ELSE 'Original Registration' END AS `Transaction Type`,
            DATE_TEXT(o_orderdate) AS `Transaction Date`,
            CASE WHEN o_orderstatus <> 'P' THEN DATE_TEXT(o_orderdate) END AS `Sale Date`,
            CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING) AS `Base MSRP`,
@@ -117,6 +119,13 @@ SHAPES["registrations"] = """
     JOIN region ON n_regionkey = r_regionkey
 """
 
+# Registrations of status F are delivered twice.
+SHAPES["registrations_redelivered"] = f"""
+    SELECT * FROM ({SHAPES['registrations']}) AS a
+    UNION ALL
+    SELECT * FROM ({SHAPES['registrations']}) AS b WHERE `Electric Utility` = 'F'
+"""
+
 _DATE_TEXT = re.compile(r"DATE_TEXT\((\w+)\)")
 _SHAPE = re.compile(r"<(\w+)>")
 

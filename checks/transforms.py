@@ -19,7 +19,7 @@ from rowproof.functions.numbers import fill_for_kinds, money_total, replace_abov
 from rowproof.operators.impute import fill_zero_from_group, zero_fill_audit
 from rowproof.sources.calendar import days_between, with_calendar_parts
 
-_MONEY_SQL = """
+MONEY_SQL = """
     SELECT l_orderkey, l_linenumber, l_partkey,
            CAST(l_quantity AS DECIMAL(15,2)) AS compensation,
            CAST(l_extendedprice AS DECIMAL(15,2)) AS reimbursed_expenses,
@@ -29,7 +29,7 @@ _MONEY_SQL = """
                AS itemized_expenses
     FROM {lineitem}
 """
-_MONEY_COLUMNS = [
+MONEY_COLUMNS = [
     "compensation", "reimbursed_expenses", "expenses_less_than_75",
     "lobbying_expenses_for_non", "itemized_expenses",
 ]
@@ -39,15 +39,15 @@ _MONEY_COLUMNS = [
     "derive_total",
     f"""
     SELECT l_orderkey, l_linenumber, l_partkey,
-           CAST({" + ".join(_MONEY_COLUMNS)} AS DECIMAL(15,2)) AS total_financials
-    FROM ({_MONEY_SQL.format(lineitem="lineitem")}) AS m
+           CAST({" + ".join(MONEY_COLUMNS)} AS DECIMAL(15,2)) AS total_financials
+    FROM ({MONEY_SQL.format(lineitem="lineitem")}) AS m
     """,
 )
 def derive_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql(_MONEY_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+    rows = spark.sql(MONEY_SQL, lineitem=table(spark, sf_dir, "lineitem"))
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        money_total(_MONEY_COLUMNS).alias("total_financials"),
+        money_total(MONEY_COLUMNS).alias("total_financials"),
     )
 
 

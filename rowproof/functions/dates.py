@@ -60,5 +60,14 @@ def weekday_name(date: Column) -> Column:
     return F.date_format(date, "EEEE")
 
 
+def iso_text(timestamp: Column) -> Column:
+    """ISO text; the fraction appears only when there is one, as microseconds."""
+    seconds = "yyyy-MM-dd'T'HH:mm:ss"
+    whole = F.date_trunc("second", timestamp) == timestamp
+    return F.when(whole, F.date_format(timestamp, seconds)).otherwise(
+        F.date_format(timestamp, seconds + ".SSSSSS")
+    )
+
+
 def date_text(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM-dd")

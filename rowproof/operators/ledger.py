@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
-from rowproof.functions.columns import named_all
+from rowproof.functions.columns import named
+from rowproof.functions.dates import iso_text
 from rowproof.operators.copies import COPIES, count_copies, expand_copies
 from rowproof.operators.lookup import lookup
 from rowproof.operators.validate import FINDINGS, Validation
@@ -19,12 +21,6 @@ from rowproof.reference_data import (
     ERROR_MESSAGES,
 )
 
-_JSON_OPTIONS = {
-    "ignoreNullFields": "false",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-}
-
-
 @dataclass(frozen=True)
 class Ledger:
     """``records``: record_id, processing_file_id, record_text.
@@ -56,9 +52,15 @@ def attach_codes(df: DataFrame, reference: DataFrame, message: str = "error_mess
     return lookup(df, reference, {message: "error_message"}, {"error_code": "error_code"})
 
 
-def record_json(columns: Sequence[str]) -> Column:
-    """The row as a JSON object; nulls are kept."""
-    return F.to_json(F.struct(*named_all(columns)), _JSON_OPTIONS)
+def record_json(schema: StructType, columns: Sequence[str]) -> Column:
+    """Some columns of a row as a JSON object; nulls are kept, times are ISO text."""
+    values = [
+        iso_text(named(name)).alias(name)
+        if isinstance(schema[name].dataType, (TimestampType, TimestampNTZType))
+        else named(name)
+        for name in columns
+    ]
+    return F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
 
 
 def record_id(file_id: Column, ordinal: Column, text: Column) -> Column:
@@ -80,10 +82,11 @@ def numbered_rejects(
     Equal rejected rows are counted first and numbered afterwards, so that no window has
     to hold all copies of a row.
     """
+    source = validation.source
     file_id = F.lit(file_id) if isinstance(file_id, int) else file_id
     texts = validation.rejected.select(
         file_id.alias("processing_file_id"),
-        record_json(columns or validation.source.columns).alias("record_text"),
+        record_json(source.schema, columns or source.columns).alias("record_text"),
         FINDINGS,
     )
     if distinct:
@@ -122,7 +125,7 @@ def duplicate_ledger(counted: DataFrame, file_id: int, per_row: bool = False) ->
     repeated = counted.filter(F.col(COPIES) > 1)
     if per_row:
         names = [name for name in counted.columns if name != COPIES]
-        texts = repeated.select(record_json(names).alias("record_text"))
+        texts = repeated.select(record_json(counted.schema, names).alias("record_text"))
     else:
         texts = (
             repeated.agg(F.count(F.lit(1)).alias("n"))

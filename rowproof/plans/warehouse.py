@@ -20,7 +20,10 @@ from rowproof.operators.lookup import lookup, resolve_references
 from rowproof.operators.metrics import counted_write
 from rowproof.operators.novelty import new_rows
 from rowproof.reference_data import FEE_COLUMNS
-from rowproof.session import settle_measured
+from rowproof.plans.staging import stage_star
+from rowproof.session import settle, settle_measured
+from rowproof.sources.csv import read_csv_text
+from rowproof.sources.listing import latest_file
 from rowproof.sources.tables import TableStore
 
 
@@ -252,6 +255,22 @@ def load_fact_by_type_name(spark: SparkSession, store: TableStore, staged: DataF
     )
 
 
+def load_latest_file(
+    spark: SparkSession,
+    store: TableStore,
+    folder: str,
+    on_missing: str = "fail",
+    multi_line: bool = True,
+) -> dict[str, int]:
+    """Stage the newest CSV file of a folder and load every table from it.
+
+    The file is parsed once; staging reads single columns of the settled copy.
+    """
+    text = read_csv_text(spark, latest_file(spark, folder), multi_line)
+    rows = settle(text, "registrations")
+    return load_star(spark, store, stage_star(spark, rows), on_missing)
+
+
 def load_star(
     spark: SparkSession,
     store: TableStore,
@@ -260,8 +279,8 @@ def load_star(
 ) -> dict[str, int]:
     """Load every table in foreign-key order; returns the rows added to each.
 
-    A failing load raises, so facts never meet half-loaded dimensions. The staged facts
-    are read once per load; the other frames are settled by their own load.
+    A failing load raises, so facts never meet half-loaded dimensions. The staged frames
+    should come from a columnar table, of which each reads its own columns.
     """
     added = {dim.table: load_dim(spark, store, dim, staged[dim.table]) for dim in INDEPENDENT}
     added[CITY.table] = load_city_dim(spark, store, staged["city_dim"], on_missing)

@@ -10,7 +10,7 @@ from rowproof.operators.lookup import MissingReferences
 from rowproof.operators.rules import required
 from rowproof.plans import staging, warehouse
 from rowproof.plans.cleaning import clean_registrations
-from rowproof.plans.runs import process_file, run_report
+from rowproof.plans.runs import process_file, run_report, run_totals
 from rowproof.sources.capture import UnknownCategory
 from rowproof.sources.listing import align
 from rowproof.sources.tables import ParquetStore
@@ -51,7 +51,8 @@ def test_lobbying_file_end_to_end(spark, tmp_path, registry):
     assert state.input_file_size == path.stat().st_size
 
     assert process_file(spark, store, str(path), registry) == 2
-    assert run_report(spark, store).count() == 2
+    totals = run_totals(spark, store).orderBy("processing_file_id").collect()
+    assert [r.total_count for r in totals] == [6, 12]
 
 
 def test_registration_file_end_to_end(spark, tmp_path, registry):
@@ -155,6 +156,15 @@ def test_star_load_is_complete_and_repeatable(spark, tmp_path, registrations):
     assert facts.select("location_id").distinct().count() == 4
 
 
+def test_latest_file_is_staged_and_loaded(spark, tmp_path):
+    write_rows(tmp_path / "EVTRA_2020.csv", [registration()], list(REGISTRATION))
+    store = ParquetStore(str(tmp_path / "store"))
+    added = warehouse.load_latest_file(spark, store, str(tmp_path))
+    assert added["vehicle_dim"] == added["vehicle_transactions_facts"] == 1
+    fact = store.read(spark, warehouse.FACT_TABLE, schemas.FACTS).first()
+    assert (fact.vehicle_id, fact.location_id, fact.fee_id, fact.sale_price) == (1, 1, 1, 30000)
+
+
 def test_new_batch_continues_the_ids(spark, tmp_path):
     store = ParquetStore(str(tmp_path))
     makes = spark.createDataFrame([("b",), ("a",), (None,)], "make string")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rowproof.operators.copies import count_copies, except_rows
 from rowproof.operators.lookup import lookup
 from rowproof.operators.novelty import new_rows
+from rowproof.sinks.files import write_by_value
 
 
 def plan(df):
@@ -21,6 +22,7 @@ def shuffled_joins(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.01",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
@@ -76,6 +78,15 @@ def test_copies_shrink_before_the_shuffle(skewed):
     assert "partial_count" in before_exchange
 
 
+def test_hot_value_is_split_when_written(spark, shuffled_joins, skewed, tmp_path):
+    from_many_tasks = skewed.withColumn("year", F.col("k"))
+    write_by_value(from_many_tasks.filter("year < 4"), str(tmp_path / "out"), "year")
+    hot = list((tmp_path / "out" / "year=1").glob("*.csv"))
+    cold = list((tmp_path / "out" / "year=2").glob("*.csv"))
+    assert len(hot) > 1
+    assert len(cold) == 1
+
+
 def test_except_removes_copies_before_the_join(shuffled_joins, skewed, keys):
     left, right = skewed.select("k"), keys.select("k")
     got = except_rows(left, right)
