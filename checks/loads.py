@@ -367,12 +367,20 @@ def load_location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_dim(spark, store, warehouse.LOCATION)
 
 
+_VEHICLE_PARTS = (
+    warehouse.MAKE, warehouse.MODEL, warehouse.PRIMARY_USE, warehouse.ELECTRIC_UTILITY,
+)
+
+
+def _load_singles(
+    spark: SparkSession, store: ParquetStore, df: DataFrame, dims: tuple[warehouse.Dimension, ...]
+) -> None:
+    staged = {dim: staging.stage_single(df, *staging.SINGLE_COLUMN_DIMS[dim.table]) for dim in dims}
+    warehouse.load_dims(spark, store, staged)
+
+
 def _load_vehicles(spark: SparkSession, store: ParquetStore, df: DataFrame) -> None:
-    for dim in (
-        warehouse.MAKE, warehouse.MODEL, warehouse.PRIMARY_USE, warehouse.ELECTRIC_UTILITY,
-    ):
-        source, name = staging.SINGLE_COLUMN_DIMS[dim.table]
-        warehouse.load_dim(spark, store, dim, staging.stage_single(df, source, name))
+    _load_singles(spark, store, df, _VEHICLE_PARTS)
     warehouse.load_vehicle_dim(spark, store, staging.stage_vehicle(df), on_missing="drop")
 
 
@@ -415,11 +423,13 @@ def load_vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_all_dims(spark: SparkSession, store: ParquetStore, df: DataFrame) -> None:
-    _load_places(spark, store, df)
-    _load_vehicles(spark, store, df)
-    types = staging.stage_single(df, "Transaction Type", "transaction_type")
-    warehouse.load_dim(spark, store, warehouse.TRANSACTION_TYPE, types)
-    warehouse.load_dim(spark, store, warehouse.FEE, staging.stage_fee(df))
+    _load_singles(
+        spark, store, df, (*_VEHICLE_PARTS, warehouse.STATE, warehouse.TRANSACTION_TYPE)
+    )
+    warehouse.load_dims(spark, store, {warehouse.FEE: staging.stage_fee(df)})
+    warehouse.load_city_dim(spark, store, staging.stage_city(df))
+    warehouse.load_location_dim(spark, store, staging.stage_location(df))
+    warehouse.load_vehicle_dim(spark, store, staging.stage_vehicle(df), on_missing="drop")
 
 
 _FEE_FLAGS = ", ".join(warehouse.FEE_FLAGS)

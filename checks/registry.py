@@ -33,7 +33,9 @@ def check(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(prepare(spark), sf_dir)
+            # The SQL side knows no time zones.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return function(prepare(spark, sf_dir), sf_dir)
 
         CHECKS[name] = Check(run, None if sql is None else duck(sql).strip())
         return function

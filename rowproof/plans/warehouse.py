@@ -6,6 +6,8 @@ Every load keeps the natural key of its dimension unique, so lookups never multi
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +23,13 @@ from rowproof.operators.metrics import counted_write
 from rowproof.operators.novelty import new_rows
 from rowproof.reference_data import FEE_COLUMNS
 from rowproof.plans.staging import stage_star
-from rowproof.session import settle, settle_measured
+from rowproof.session import prepare, scratch_scope, settle, settle_measured
 from rowproof.sources.csv import read_csv_text
 from rowproof.sources.listing import latest_file
 from rowproof.sources.tables import TableStore
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Dimension:
     """A table whose rows are identified by a natural key and numbered by ``id_column``."""
 
@@ -109,6 +111,21 @@ def load_dim(
     return added
 
 
+def load_dims(
+    spark: SparkSession, store: TableStore, staged: Mapping[Dimension, DataFrame]
+) -> dict[str, int]:
+    """Load dimensions that do not refer to each other, side by side.
+
+    Each load is a few short jobs; run together they share the executors.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(staged))) as pool:
+        running = {
+            dim.table: pool.submit(copy_context().run, load_dim, spark, store, dim, rows)
+            for dim, rows in staged.items()
+        }
+        return {table: load.result() for table, load in running.items()}
+
+
 def city_rows(df: DataFrame, state_dim: DataFrame) -> DataFrame:
     """Adds the id of the state."""
     return lookup(df, state_dim, {"state": "state"}, {"state_id": "state_id"})
@@ -266,9 +283,11 @@ def load_latest_file(
 
     The file is parsed once; staging reads single columns of the settled copy.
     """
-    text = read_csv_text(spark, latest_file(spark, folder), multi_line)
-    rows = settle(text, "registrations")
-    return load_star(spark, store, stage_star(spark, rows), on_missing)
+    path = latest_file(spark, folder)
+    prepare(spark, path)
+    with scratch_scope(spark):
+        rows = settle(read_csv_text(spark, path, multi_line), "registrations")
+        return load_star(spark, store, stage_star(spark, rows), on_missing)
 
 
 def load_star(
@@ -282,10 +301,10 @@ def load_star(
     A failing load raises, so facts never meet half-loaded dimensions. The staged frames
     should come from a columnar table, of which each reads its own columns.
     """
-    added = {dim.table: load_dim(spark, store, dim, staged[dim.table]) for dim in INDEPENDENT}
+    independent = (*INDEPENDENT, TIME)
+    added = load_dims(spark, store, {dim: staged[dim.table] for dim in independent})
     added[CITY.table] = load_city_dim(spark, store, staged["city_dim"], on_missing)
     added[LOCATION.table] = load_location_dim(spark, store, staged["location_dim"], on_missing)
     added[VEHICLE.table] = load_vehicle_dim(spark, store, staged["vehicle_dim"], on_missing)
-    added[TIME.table] = load_time_dim(spark, store, staged["time_dim"])
     added[FACT_TABLE] = load_fact(spark, store, staged["facts"])
     return added

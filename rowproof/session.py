@@ -6,21 +6,30 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Run-time settings every plan here relies on. Joins carry no size-blind broadcast
 # hint: the planner broadcasts a side only when its known or measured size is under
 # spark.sql.autoBroadcastJoinThreshold, and otherwise shuffles and splits hot keys.
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Shuffles start with one partition per this much input; adaptive execution merges the
+# ones that turn out small. The cap bounds the bookkeeping of the driver.
+INPUT_BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 _local_dirs: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def local_session(cores: str = "*", app: str = "rowproof", **settings: str) -> SparkSession:
@@ -30,7 +39,8 @@ def local_session(cores: str = "*", app: str = "rowproof", **settings: str) -> S
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
-        **RUNTIME_SETTINGS,
+        "spark.sql.session.timeZone": "UTC",
+        **ADAPTIVE_SETTINGS,
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -39,14 +49,39 @@ def local_session(cores: str = "*", app: str = "rowproof", **settings: str) -> S
     return spark
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session made elsewhere."""
-    for key, value in RUNTIME_SETTINGS.items():
+def prepare(spark: SparkSession, input_path: str) -> SparkSession:
+    """Set a session up for plans over the files below ``input_path``."""
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        min(MOST_PARTITIONS, stored_bytes(spark, input_path) // INPUT_BYTES_PER_PARTITION),
+    )
+    settings = {
+        **ADAPTIVE_SETTINGS,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def _located(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    file_system, hadoop_path = _located(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files below a folder."""
+    file_system, hadoop_path = _located(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -67,13 +102,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whatever file system the path names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, what was settled inside; frames made inside end with it."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            file_system, hadoop_path = _located(spark, path)
+            file_system.delete(hadoop_path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

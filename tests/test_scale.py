@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rowproof import session
 from rowproof.operators.copies import count_copies, except_rows
 from rowproof.operators.lookup import lookup
 from rowproof.operators.novelty import new_rows
+from rowproof.session import path_exists, prepare, scratch_path, scratch_scope, settle
 from rowproof.sinks.files import write_by_value
 
 
@@ -92,3 +94,29 @@ def test_except_removes_copies_before_the_join(shuffled_joins, skewed, keys):
     got = except_rows(left, right)
     assert {r.k for r in got.collect()} == {r.k for r in left.subtract(right).collect()}
     assert plan(got).count("HashAggregate") >= 4
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("x" * 1000)
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "c.csv").write_text("x" * 1000)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    prepare(spark, str(tmp_path))
+    assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 100)
+    prepare(spark, str(tmp_path))
+    assert spark.conf.get(key) == "20"
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_settled_frames_end_with_their_scope(spark):
+    with scratch_scope(spark):
+        path = scratch_path(spark, "inside")
+        spark.range(3).write.parquet(path)
+        assert path_exists(spark, path)
+        inner = settle(spark.range(2), "inner")
+        assert inner.count() == 2
+    assert not path_exists(spark, path)
+    outside = settle(spark.range(4), "outside")
+    assert outside.count() == 4
