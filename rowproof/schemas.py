@@ -33,7 +33,7 @@ def schema_of(text: str) -> StructType:
     return result
 
 
-# Lobbying file, as read.
+# Columns of the lobbying file, as read.
 LOBBYING_FILE = schema_of(
     """
     form_submission_id int, reporting_year int, filing_type string, reporting_period string,
@@ -49,7 +49,7 @@ LOBBYING_FILE = schema_of(
     """
 )
 
-# Processed lobbying records; record_id and created_at are added on load.
+# Columns of the processed records; record_id and created_at are added on load.
 LOBBYING_TARGET = schema_of(
     """
     form_submission_id int, reporting_year int, filing_type string, reporting_period string,
@@ -66,7 +66,7 @@ LOBBYING_TARGET = schema_of(
     """
 )
 
-# Numeric columns of the registration file; the others are text.
+# Numeric columns of the registration file; the others are text.
 REGISTRATION_TYPES = {
     "DOL Vehicle ID": "bigint",
     "Model Year": "int",

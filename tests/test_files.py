@@ -67,11 +67,11 @@ def test_yearly_folders_are_merged_by_name(spark, tmp_path, rows):
 
 
 def test_file_facts_and_registry(spark, tmp_path):
-    put(tmp_path / "EV_20240125.csv", 'id,"name, full"\n1,"two\nlines"\n2,x\n')
+    put(tmp_path / "EV_20250301.csv", 'id,"name, full"\n1,"two\nlines"\n2,x\n')
     put(tmp_path / "EVTRA_2020.csv", "a\n")
-    paths = [str(tmp_path / "EV_20240125.csv"), str(tmp_path / "EVTRA_2020.csv")]
+    paths = [str(tmp_path / "EV_20250301.csv"), str(tmp_path / "EVTRA_2020.csv")]
     facts = {r.file_name: r for r in file_facts(spark, paths).collect()}
-    ev = facts["EV_20240125.csv"]
+    ev = facts["EV_20250301.csv"]
     assert (ev.category, ev.header_text, ev.record_count) == ("EV", "id, name, full", 2)
     assert ev.input_file_size == os.path.getsize(paths[0])
     assert facts["EVTRA_2020.csv"].record_count == 0

@@ -106,6 +106,12 @@ def test_ids_are_dense_and_ordered(spark, monkeypatch, limit):
     assert all(ids[k] == k + 12 for k in range(5000))
 
 
+def test_ids_without_an_order(spark):
+    got = assign_ids(spark.range(0, 1000, numPartitions=6), "n", [], start=5)
+    assert sorted(r.n for r in got.collect()) == list(range(6, 1006))
+    assert "Exchange hash" not in got._jdf.queryExecution().executedPlan().toString().split("Broadcast")[0]
+
+
 @pytest.mark.parametrize("limit", [0, 100_000])
 def test_running_total(spark, monkeypatch, limit):
     monkeypatch.setattr(identity, "ONE_TASK_ROWS", limit)

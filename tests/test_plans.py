@@ -25,13 +25,13 @@ def registry(spark):
 
 
 def test_lobbying_file_end_to_end(spark, tmp_path, registry):
-    path = tmp_path / "EV_20240125.csv"
+    path = tmp_path / "EV_20250301.csv"
     write_rows(path, lobbying_rows(), schemas.LOBBYING_FILE.names)
     store = ParquetStore(str(tmp_path / "store"))
     run_id = process_file(spark, store, str(path), registry)
 
     loaded = spark.read.parquet(store.path("processed_lobbying_data"))
-    assert loaded.columns == [*schemas.LOBBYING_TARGET.names, "created_at"]
+    assert loaded.columns == ["record_id", *schemas.LOBBYING_TARGET.names, "created_at"]
     totals = {r.form_submission_id: r.total_financials for r in loaded.collect()}
     assert totals == {line: Decimal(total) for line, total in TOTALS.items()}
     first = loaded.first()
@@ -51,6 +51,8 @@ def test_lobbying_file_end_to_end(spark, tmp_path, registry):
     assert state.input_file_size == path.stat().st_size
 
     assert process_file(spark, store, str(path), registry) == 2
+    again = spark.read.parquet(store.path("processed_lobbying_data"))
+    assert sorted(r.record_id for r in again.collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
     totals = run_totals(spark, store).orderBy("processing_file_id").collect()
     assert [r.total_count for r in totals] == [6, 12]
 
