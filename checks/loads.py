@@ -450,7 +450,7 @@ _FACT_SQL = """
     WITH facts AS ({facts})
     SELECT * EXCLUDE ({extra}) FROM facts WHERE {keep}
       AND ({earlier} OR NOT EXISTS (
-        SELECT 1 FROM facts AS old WHERE old.{earlier} AND {match}))
+        SELECT 1 FROM facts AS old WHERE old.{earlier} AND ({match})))
 """
 
 
@@ -465,7 +465,8 @@ def _same(*columns: str) -> str:
         extra="transaction_type",
         keep="TRUE",
         earlier=_EARLIER,
-        match=_same("vehicle_id", "transaction_date"),
+        match="old.vehicle_id = facts.vehicle_id AND old.transaction_date = facts.transaction_date"
+        " OR facts.vehicle_id IS NULL AND " + _same(*schemas.FACTS.names),
     ),
 )
 def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from rowproof.functions.columns import named, named_all
 
 
+def has_null(keys: Sequence[str]) -> Column:
+    """True when any of the columns is null."""
+    result = F.lit(False)
+    for key in keys:
+        result = result | named(key).isNull()
+    return result
+
+
 def new_rows(
     incoming: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = True
 ) -> DataFrame:
@@ -30,11 +38,18 @@ def new_rows(
     return incoming.join(known, F.struct(*named_all(keys)) == F.col("_known"), "left_anti")
 
 
-def _has_null_key(keys: Sequence[str]) -> Column:
-    result = F.lit(False)
-    for key in keys:
-        result = result | named(key).isNull()
-    return result
+def new_rows_lossless(
+    incoming: DataFrame, existing: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """:func:`new_rows` in which a row with a null key part is compared as a whole.
+
+    Such a row cannot be told from others by its key, so it counts as known only when
+    ``existing`` holds the very same row. Nothing is lost and nothing is loaded twice.
+    """
+    null_key = has_null(keys)
+    keyed = new_rows(incoming.filter(~null_key), existing, keys, null_safe=False)
+    unkeyed = new_rows(incoming.filter(null_key), existing.filter(null_key), incoming.columns)
+    return keyed.unionByName(unkeyed)
 
 
 def key_balance(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,7 +66,7 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
 
     Counts are of rows, not of keys. A null key part matches nothing.
     """
-    null_key = _has_null_key(keys)
+    null_key = has_null(keys)
     only_source = null_key | (F.col("in_target") == 0)
     only_target = null_key | (F.col("in_source") == 0)
 

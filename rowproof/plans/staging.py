@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from rowproof.functions.columns import named
 from rowproof.functions.dates import KNOWN_FORMATS, parse_date_any
@@ -67,21 +67,31 @@ def stage_location(df: DataFrame, keep_null: bool = False) -> DataFrame:
     return distinct_dim(df, PLACE_COLUMNS, required)
 
 
-def stage_fee(df: DataFrame, trim: bool = True) -> DataFrame:
-    """Distinct combinations of the three fee flags, each yes or no."""
-    flags = [
-        standardize_flag(named(source), unknown="no", trim=trim).alias(name)
+def _fee_flags(trim: bool, raw: bool) -> list[Column]:
+    return [
+        (named(source) if raw else standardize_flag(named(source), unknown="no", trim=trim)).alias(
+            name
+        )
         for source, name in FEE_COLUMNS.items()
     ]
-    return distinct_rows(df.select(*flags))
+
+
+def stage_fee(df: DataFrame, trim: bool = True, raw: bool = False) -> DataFrame:
+    """Distinct combinations of the three fee flags, each yes or no unless ``raw``."""
+    return distinct_rows(df.select(*_fee_flags(trim, raw)))
 
 
 def stage_vehicle(df: DataFrame, required: Sequence[str] = VEHICLE_REQUIRED) -> DataFrame:
     return distinct_dim(df, VEHICLE_COLUMNS, required)
 
 
-def stage_fact(df: DataFrame, formats: Sequence[str] = KNOWN_FORMATS) -> DataFrame:
-    """One row per transaction, with parsed dates, integer measures and yes/no flags."""
+def stage_fact(
+    df: DataFrame, formats: Sequence[str] = KNOWN_FORMATS, raw_flags: bool = False
+) -> DataFrame:
+    """One row per transaction, with parsed dates, integer measures and yes/no flags.
+
+    ``raw_flags`` leaves the flags as they are, to match a fee dimension staged that way.
+    """
     return df.select(
         named("DOL Vehicle ID").alias("dol_vehicle_id"),
         parse_date_any(named("Transaction Date"), formats).alias("transaction_date"),
@@ -89,10 +99,7 @@ def stage_fact(df: DataFrame, formats: Sequence[str] = KNOWN_FORMATS) -> DataFra
         *[named(source).alias(name) for source, name in PLACE_COLUMNS.items()],
         named("Transaction Type").alias("transaction_type"),
         *[to_int(named(source)).alias(name) for source, name in MEASURES.items()],
-        *[
-            standardize_flag(named(source), unknown="no", trim=True).alias(name)
-            for source, name in FEE_COLUMNS.items()
-        ],
+        *_fee_flags(trim=True, raw=raw_flags),
     )
 
 

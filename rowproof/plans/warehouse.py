@@ -20,7 +20,7 @@ from rowproof.operators.copies import distinct_rows, one_per_key
 from rowproof.operators.identity import assign_ids
 from rowproof.operators.lookup import lookup, resolve_references
 from rowproof.operators.metrics import counted_write
-from rowproof.operators.novelty import new_rows
+from rowproof.operators.novelty import has_null, new_rows, new_rows_lossless
 from rowproof.reference_data import FEE_COLUMNS
 from rowproof.plans.staging import stage_star
 from rowproof.session import prepare, scratch_scope, settle, settle_measured
@@ -236,15 +236,19 @@ def load_fact(
     schema: StructType = schemas.FACTS,
     on_missing: str | None = None,
     required_ids: Sequence[str] = ("location_id", "vehicle_id"),
-    null_safe: bool = True,
+    null_keys: str = "whole_row",
     distinct_batch: bool = False,
     table: str = FACT_TABLE,
 ) -> int:
     """Append transactions whose key is not in the fact table yet; returns how many.
 
     Rows of one batch are not compared with each other unless ``distinct_batch`` is set.
-    ``on_missing`` is None (keep rows with unknown ids), "drop" or "fail".
+    ``on_missing`` is None (keep rows with unknown ids), "drop" or "fail". Where a key part
+    is null, ``null_keys`` says what is compared: the "whole_row", the key with nulls taken
+    as "equal", or nothing, which makes the row "new" every time.
     """
+    if null_keys not in ("whole_row", "equal", "new"):
+        raise ValueError("null_keys must be 'whole_row', 'equal' or 'new'")
     tables = (STATE, CITY, LOCATION, TRANSACTION_TYPE, FEE, VEHICLE)
     dims = {dim.table: read_dim(spark, store, dim) for dim in tables}
     rows = fact_rows(staged, dims)
@@ -254,8 +258,16 @@ def load_fact(
     rows = rows.select(*[named(c).try_cast(types[c]).alias(c) for c in schema.names])
     if distinct_batch:
         rows = distinct_rows(rows)
-    existing = store.read(spark, table, schema, columns=list(key))
-    fresh = new_rows(rows, existing, key, null_safe)
+    unkeyed = 0
+    if null_keys == "whole_row":
+        # Written once, because two comparisons may read it.
+        rows, measured = settle_measured(rows, "facts", unkeyed=F.count_if(has_null(key)))
+        unkeyed = measured["unkeyed"]
+    if unkeyed:
+        fresh = new_rows_lossless(rows, store.read(spark, table, schema), key)
+    else:
+        existing = store.read(spark, table, schema, columns=list(key))
+        fresh = new_rows(rows, existing, key, null_safe=null_keys == "equal")
     return counted_write(fresh, lambda df: store.append(df, table))
 
 
@@ -268,6 +280,7 @@ def load_fact_by_type_name(spark: SparkSession, store: TableStore, staged: DataF
         key=FACT_KEY_WITH_SALE,
         schema=schemas.FACTS_BY_TYPE_NAME,
         on_missing="drop",
+        null_keys="equal",
         table=f"{FACT_TABLE}_by_type_name",
     )
 

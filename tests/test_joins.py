@@ -12,7 +12,7 @@ from rowproof.operators.lookup import (
     resolve_references,
 )
 from rowproof.operators.metrics import counted_write, latest_batch_count, run_state
-from rowproof.operators.novelty import key_balance, new_rows, reconcile, rows_only_in
+from rowproof.operators.novelty import key_balance, new_rows, new_rows_lossless, reconcile, rows_only_in
 
 
 @pytest.fixture
@@ -61,6 +61,18 @@ def test_new_rows_and_null_keys(spark, rows):
     ]
 
 
+def test_rows_without_a_full_key_are_compared_whole(spark, rows):
+    columns = "k int, d int, v string"
+    existing = spark.createDataFrame([(1, 1, "a"), (None, 1, "a"), (None, 1, None)], columns)
+    incoming = spark.createDataFrame(
+        [(1, 1, "z"), (None, 1, "a"), (None, 1, "b"), (None, 1, None), (2, None, "c"), (2, 1, "d")],
+        columns,
+    )
+    fresh = new_rows_lossless(incoming, existing, ["k", "d"])
+    assert rows(fresh) == [(None, 1, "b"), (2, None, "c"), (2, 1, "d")]
+    assert new_rows_lossless(incoming, existing.union(fresh), ["k", "d"]).count() == 0
+
+
 def test_new_rows_with_wider_existing_key(spark, rows):
     incoming = spark.createDataFrame([(1,), (2,)], "k int")
     existing = spark.createDataFrame([(1,)], "k bigint")

@@ -199,6 +199,24 @@ def test_older_fact_layout_drops_unknown_rows(spark, tmp_path, registrations):
     assert warehouse.load_fact_by_type_name(spark, store, staged["facts"]) == 0
 
 
+def test_unmatched_facts_of_a_later_batch_are_not_lost(spark, tmp_path, registrations):
+    store = ParquetStore(str(tmp_path))
+    facts = staging.stage_fact(registrations)
+    first, second = facts.filter("dol_vehicle_id = 100"), facts.filter("dol_vehicle_id = 500")
+    assert warehouse.load_fact(spark, store, first) == 2
+    changed = second.withColumn("sale_price", F.lit(1))
+    assert warehouse.load_fact(spark, store, changed) == 1
+    assert warehouse.load_fact(spark, store, changed) == 0
+    with pytest.raises(ValueError):
+        warehouse.load_fact(spark, store, changed, null_keys="skip")
+
+
+def test_raw_flags(spark, registrations, rows):
+    fees = rows(staging.stage_fee(registrations, raw=True))
+    assert fees == [("Yes", "No", "Not Applicable")]
+    assert staging.stage_fact(registrations, raw_flags=True).first().electric_vehicle_fee == "Yes"
+
+
 def test_batch_duplicates_stay_unless_asked(spark, tmp_path, registrations):
     staged = staging.stage_fact(registrations)
     twice = staged.union(staged)
