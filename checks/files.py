@@ -17,7 +17,7 @@ from rowproof.sinks.files import write_by_value, write_csv
 from rowproof.sinks.targets import project_to
 from rowproof.sources.capture import file_facts
 from rowproof.sources.csv import read_csv, read_csv_text
-from rowproof.sources.listing import latest_file, list_files, merge_yearly
+from rowproof.sources.listing import latest_file, merge_yearly
 from rowproof.sources.tables import ParquetStore
 
 
@@ -137,17 +137,13 @@ def src_table_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def capture_file_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of the part files of one export, summed up per header."""
+    """An export in part files is captured as one arrival."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     folder = scratch_path(spark, "orders_export")
-    write_csv(orders.repartition(3, "o_orderkey"), folder)
-    paths = [row.path for row in list_files(spark, folder).select("path").toLocalIterator()]
-    facts = file_facts(spark, paths)
-    return facts.groupBy("header_text").agg(
-        F.lit("orders").alias("category"),
-        F.sum("record_count").alias("record_count"),
-        (F.min("input_file_size") > 0).alias("has_size"),
-    )
+    write_csv(orders, folder)
+    facts = file_facts(spark, [folder], multi_line=False)
+    has_size = (F.col("input_file_size") > 0).alias("has_size")
+    return facts.select("category", "header_text", "record_count", has_size)
 
 
 _TARGET = schema_of("o_orderkey int, price money, ordered_on date, monitoring_only boolean")

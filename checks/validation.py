@@ -38,7 +38,7 @@ ALL_COLUMNS = [
     "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
 ]
 
-_JSON_SQL = "to_json({" + ", ".join(f"'{c}': {c}" for c in ALL_COLUMNS) + "})"
+_JSON_SQL = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in ALL_COLUMNS) + "}) AS STRING)"
 _ANY_GAP = " OR ".join(f"{c} IS NULL" for c in GAP_COLUMNS)
 
 

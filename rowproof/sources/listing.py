@@ -33,6 +33,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     )
 
 
+def scanned_file_name() -> Column:
+    """Name of the file a scanned row comes from; the scan itself reports it URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
 def newest_per_folder(files: DataFrame) -> DataFrame:
     """The file modified last in each folder; equal times go to the greater path."""
     newest = F.max(F.struct("modified_at", "path", "length")).alias("f")

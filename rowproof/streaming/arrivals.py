@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 from rowproof.operators.ledger import ledger_of, numbered_rejects
 from rowproof.operators.rules import Rule
 from rowproof.operators.validate import validate
-from rowproof.session import settle
+from rowproof.session import scratch_scope, settle
+from rowproof.sources.listing import scanned_file_name
 
 FILE_NAME = "_file_name"
 
@@ -20,7 +21,7 @@ FILE_NAME = "_file_name"
 def arriving_rows(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """Rows of new CSV files with the name of their file."""
     stream = spark.readStream.schema(schema).option("header", True).csv(folder)
-    return stream.withColumn(FILE_NAME, F.col("_metadata.file_name"))
+    return stream.withColumn(FILE_NAME, scanned_file_name())
 
 
 def validate_arrivals(
@@ -40,17 +41,18 @@ def validate_arrivals(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         checked = validate(batch, rules, attribution)
-        rejects = settle(
-            numbered_rejects(checked, F.col(FILE_NAME), schema.names), "arrival-rejects"
-        )
-        ledger = ledger_of(rejects)
-        outputs = {
-            "valid": checked.valid,
-            "record_errors": ledger.records,
-            "column_errors": ledger.columns,
-        }
-        for name, rows in outputs.items():
-            rows.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
+        with scratch_scope(spark):
+            rejects = settle(
+                numbered_rejects(checked, F.col(FILE_NAME), schema.names), "arrival-rejects"
+            )
+            ledger = ledger_of(rejects)
+            outputs = {
+                "valid": checked.valid,
+                "record_errors": ledger.records,
+                "column_errors": ledger.columns,
+            }
+            for name, rows in outputs.items():
+                rows.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
 
     return (
         arriving_rows(spark, folder, schema)

@@ -84,6 +84,18 @@ def test_file_facts_and_registry(spark, tmp_path):
     assert require_category(gated.filter("category = 'EV'")).count() == 1
 
 
+def test_facts_of_odd_names_and_of_folders(spark, tmp_path):
+    name = "EV_new+old file 100%.csv"
+    put(tmp_path / name, "a\n1\n2\n")
+    put(tmp_path / "EV_parts" / "a.csv", "a,b\n1,2\n")
+    put(tmp_path / "EV_parts" / "b.csv", "a,b\n3,4\n5,6\n")
+    facts = file_facts(spark, [str(tmp_path / name), f"{tmp_path}/EV_parts/"]).collect()
+    assert [(f.file_name, f.record_count, f.header_text) for f in facts] == [
+        (name, 2, "a"), ("EV_parts", 3, "a, b"),
+    ]
+    assert facts[1].input_file_size == 20
+
+
 def test_file_without_header_is_refused(spark, tmp_path):
     put(tmp_path / "EV_1.csv", "")
     with pytest.raises(ValueError, match="header"):
