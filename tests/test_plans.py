@@ -10,7 +10,13 @@ from rowproof.operators.lookup import MissingReferences
 from rowproof.operators.rules import required
 from rowproof.plans import staging, warehouse
 from rowproof.plans.cleaning import clean_registrations
-from rowproof.plans.runs import process_file, run_report, run_totals
+from rowproof.plans.runs import (
+    error_counts,
+    process_file,
+    run_report,
+    run_totals,
+    stored_ledger,
+)
 from rowproof.sources.capture import UnknownCategory
 from rowproof.sources.listing import align
 from rowproof.sources.tables import ParquetStore
@@ -47,6 +53,8 @@ def test_lobbying_file_end_to_end(spark, tmp_path, registry):
     assert state.processing_file_id == run_id == 1
     assert (state.initial_count, state.processed_count) == (6, 4)
     assert (state.error_count, state.distinct_error_count) == (2, 1)
+    assert error_counts(stored_ledger(spark, store, run_id)) == (2, 1)
+    assert error_counts(stored_ledger(spark, store, 99)) == (0, 0)
     assert state.process_end_time >= state.process_start_time
     assert state.input_file_size == path.stat().st_size
 
