@@ -372,15 +372,14 @@ _VEHICLE_PARTS = (
 )
 
 
-def _load_singles(
-    spark: SparkSession, store: ParquetStore, df: DataFrame, dims: tuple[warehouse.Dimension, ...]
-) -> None:
-    staged = {dim: staging.stage_single(df, *staging.SINGLE_COLUMN_DIMS[dim.table]) for dim in dims}
-    warehouse.load_dims(spark, store, staged)
+def _staged_singles(
+    df: DataFrame, dims: tuple[warehouse.Dimension, ...]
+) -> dict[warehouse.Dimension, DataFrame]:
+    return {dim: staging.stage_single(df, *staging.SINGLE_COLUMN_DIMS[dim.table]) for dim in dims}
 
 
 def _load_vehicles(spark: SparkSession, store: ParquetStore, df: DataFrame) -> None:
-    _load_singles(spark, store, df, _VEHICLE_PARTS)
+    warehouse.load_dims(spark, store, _staged_singles(df, _VEHICLE_PARTS))
     warehouse.load_vehicle_dim(spark, store, staging.stage_vehicle(df), on_missing="drop")
 
 
@@ -423,10 +422,9 @@ def load_vehicle_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_all_dims(spark: SparkSession, store: ParquetStore, df: DataFrame) -> None:
-    _load_singles(
-        spark, store, df, (*_VEHICLE_PARTS, warehouse.STATE, warehouse.TRANSACTION_TYPE)
-    )
-    warehouse.load_dims(spark, store, {warehouse.FEE: staging.stage_fee(df)})
+    singles = (*_VEHICLE_PARTS, warehouse.STATE, warehouse.TRANSACTION_TYPE)
+    fee = {warehouse.FEE: staging.stage_fee(df)}
+    warehouse.load_dims(spark, store, {**_staged_singles(df, singles), **fee})
     warehouse.load_city_dim(spark, store, staging.stage_city(df))
     warehouse.load_location_dim(spark, store, staging.stage_location(df))
     warehouse.load_vehicle_dim(spark, store, staging.stage_vehicle(df), on_missing="drop")
