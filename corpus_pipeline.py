@@ -8,15 +8,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rowproof.llm.decontaminate import remove_contaminated
+from rowproof.llm.language import fit_languages, keep_identified
+from rowproof.llm.piece_lattice import encoding_report
+from rowproof.llm.quality_model import fit_quality, keep_quality
 from rowproof.llm.simhash import one_of_each
 from rowproof.session import prepare, settle
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not rejected."""
+    return keep_identified(docs, fit_languages(docs))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores at 0.3 or more."""
+    return keep_quality(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id."""
     return one_of_each(docs)
@@ -27,9 +43,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and checksum of each document's ids, and whether they decode to its text."""
+    return encoding_report(docs, PIECE_MODEL)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("quality_classifier", quality_classifier),
     ("simhash_dedup", simhash_dedup),
     ("decontaminate", decontaminate),
+    ("sentencepiece", sentencepiece),
 ]
 
 #: Models, fingerprints and pieces are not expressible in SQL.

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowproof.llm.text import ALNUM_WORDS, bound_batches, free_name, utf8
+from rowproof.llm.text import ALNUM_WORDS, bound_batches, free_name, share, utf8
 
 WINDOW = 13
 
@@ -227,7 +227,7 @@ def _searched(docs: DataFrame, tests: TestSuffixes, name: str, again: bool) -> D
     """Adds the findings of one block; ``again`` joins them to those of the blocks before."""
     known = docs.drop(name) if again else docs
     schema = known.select("*", F.lit(None).cast(FOUND).alias(name)).schema
-    shared = docs.sparkSession.sparkContext.broadcast(tests)
+    shared = share(docs.sparkSession, tests)
     kind = pa.struct([
         ("n_words", pa.int64()),
         ("hits", pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))),
@@ -236,7 +236,7 @@ def _searched(docs: DataFrame, tests: TestSuffixes, name: str, again: bool) -> D
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        suffixes = shared.value
+        suffixes = shared()
         for batch in batches:
             found = _search(utf8(batch.column("text")), suffixes)
             rows = [

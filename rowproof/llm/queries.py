@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import decontaminate, quality_rules, simhash, url_filter
-from rowproof.session import prepare
+from rowproof.llm import (
+    decontaminate,
+    language,
+    piece_lattice,
+    quality_model,
+    quality_rules,
+    shards,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+)
+from rowproof.session import prepare, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
+SHARDS = 24
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -32,12 +48,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_sharding")
+def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query("op2_sentencepiece")
+def _sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encoding_report(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 @query("op3_simhash")
 def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op4_toxicity")
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_token_files")
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(docs, scratch_path(spark, "token-files"), WORD_TOKENIZER)
+    return token_files.file_report(docs, files)
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWERED)
 
@@ -80,6 +120,12 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_language")
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit_languages(docs))
+
+
 @query("op8_quality_rules", r"""
     WITH d AS (
         SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
@@ -122,6 +168,12 @@ def _quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+@query("op9_quality_model")
+def _quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score_quality(docs, quality_model.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 # Every page address seen on one of these domains is on the list of blocked addresses.
 LISTED_DOMAINS = ("spam-farm.example.org", "cheap-pills.example.com")
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import TypeVar
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +42,26 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"))
 
 
+T = TypeVar("T")
+
+
+def share(spark: SparkSession, value: T) -> Callable[[], T]:
+    """A function that gives ``value`` inside tasks.
+
+    A worker unpacks it once and keeps it, with whatever the value itself remembers, for its
+    later tasks.
+    """
+    held = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get() -> T:
+        box = held.value
+        if "value" not in box:
+            box["value"] = pickle.loads(box["packed"])
+        return box["value"]
+
+    return get
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
