@@ -8,6 +8,7 @@ the language's own texts do. Document frequencies are counted over all texts lea
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,10 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
 
-#: A text is rejected below this share of the lowest cosine that 99 % of the sample reach.
+#: A text is rejected below this share of the lowest cosine that 99 % of the sample reach; a
+#: text with fewer different n-grams than FULL_GRAMS cannot come as close, and need not.
 REJECT_SHARE = 0.5
+FULL_GRAMS = 1000
 
 #: Languages whose centroids one broadcast may hold (128 KB each).
 MOST_LANGUAGES = 2000
@@ -125,7 +128,8 @@ class LanguageModel:
         cosines = values @ self.centroids[at]
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.languages[best], score, score < self.least[best]
+        near_enough = self.least[best] * min(1.0, math.sqrt(len(at) / FULL_GRAMS))
+        return self.languages[best], score, score < near_enough
 
 
 def fit_languages(docs: DataFrame) -> LanguageModel:

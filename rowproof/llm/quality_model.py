@@ -27,6 +27,12 @@ RATE = 4.0
 #: Labelled documents the model is fitted to, at most.
 SAMPLE_ROWS = 4000
 
+#: The row of a word that follows itself.
+REPEAT = 0
+
+#: Rows of zeros that every mean includes, so that few features do not decide alone.
+ZEROS = 32
+
 KEEP_FROM = 0.3
 
 
@@ -38,7 +44,10 @@ class Features:
 
     def __call__(self, text: str) -> Iterator[np.ndarray]:
         for points, own in slices(text, max(ORDERS) - 1):
-            yield buckets(self.words(points[:own]), BITS)
+            words = self.words(points[:own])
+            yield buckets(words, BITS)
+            # Of word pairs, the one that matters in any vocabulary: a word after itself.
+            yield np.full(int((words[1:] == words[:-1]).sum()), REPEAT, np.int64)
             for n in ORDERS:
                 yield buckets(gram_hashes(points, n, own), BITS)
 
@@ -50,7 +59,7 @@ def train(rows: Iterator[tuple[str, int]]) -> np.ndarray:
         counts = sum((np.bincount(b, minlength=1 << BITS) for b in features(text)), np.zeros(1 << BITS, np.int64))
         at = np.flatnonzero(counts)
         if len(at):
-            data.append((at.astype(np.int32), (counts[at] / counts.sum()).astype(np.float32)))
+            data.append((at.astype(np.int32), (counts[at] / (counts.sum() + ZEROS)).astype(np.float32)))
             labels.append(int(y > 0))
     if not data:
         return np.concatenate((np.zeros(1 << BITS), [50.0])).astype(np.float32)
@@ -79,11 +88,11 @@ def scorer(logits: np.ndarray) -> Callable[[str | None], float]:
     features = Features()
 
     def score(text: str | None) -> float:
-        total, n = 0.0, 0
+        total, n = 0.0, ZEROS
         for rows in features(text or ""):
             total += float(logits[rows].sum(dtype=np.float64))
             n += len(rows)
-        logit = (total / n if n else 0.0) + float(logits[-1])
+        logit = total / n + float(logits[-1])
         return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
     return score

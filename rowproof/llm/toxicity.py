@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: each term of a lexicon votes toxic where it occurs, patterns vote
-either way or abstain. A generative model estimates, by expectation maximisation, how often
+Many voters look at a text: each term of a lexicon votes toxic where it occurs, and so does each
+word beginning of a mined list; other patterns vote either way or abstain. A generative model estimates, by expectation maximisation, how often
 each voter votes what given the hidden label, and from what is left unexplained which voters
 go together; correlated voters share their weight. Its posterior labels train a linear
 classifier on words, which scores all documents.
@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 from rowproof.llm.labelled import fit_in_a_task, labelled_sample, scored
 from rowproof.llm.text import ALNUM_WORDS, share
 
+#: Lengths, in bytes, of the word beginnings that count as patterns.
+STEMS = (4, 5, 6, 7, 8)
+
 #: Labelled documents the models are fitted to, at most.
 SAMPLE_ROWS = 6000
 
@@ -27,6 +30,9 @@ SAMPLE_ROWS = 6000
 MINED_TERMS = 100
 CLASSIFIER_WORDS = 2048
 
+#: Steps of gradient descent.
+STEPS = 600
+
 TOXIC_FROM = 0.5
 
 # Common English terms of abuse.
@@ -44,8 +50,12 @@ ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
 
 def words_of(text: str | None) -> set[bytes]:
-    """Distinct words, A-Z lower-cased, without punctuation."""
-    return set((text or "").encode("utf-8", "replace").translate(ALNUM_WORDS).split())
+    """Distinct words, A-Z lower-cased, without punctuation, and their beginnings.
+
+    A beginning ends in ``*``: languages that inflect hang many endings on one term of abuse.
+    """
+    words = set((text or "").encode("utf-8", "replace").translate(ALNUM_WORDS).split())
+    return words.union(*({w[:n] + b"*" for w in words if len(w) > n} for n in STEMS))
 
 
 def votes(text: str, words: set[bytes], lexicon: list[bytes]) -> list[int]:
@@ -121,10 +131,23 @@ def mined_terms(bags: list[set[bytes]], labels: np.ndarray) -> list[bytes]:
         (toxic if y else clean).update(bag)
     n_toxic, n_clean = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
     good = [
-        (-n, word) for word, n in toxic.items()
+        word for word, n in toxic.items()
         if n >= max(5, 0.005 * n_toxic) and n / n_toxic >= 20 * (clean[word] + 0.5) / n_clean
     ]
-    return [word for _, word in sorted(good)[:MINED_TERMS]]
+    good = most_specific(good, {word: (toxic[word], clean[word]) for word in good})
+    return sorted(good, key=lambda word: (-toxic[word], word))[:MINED_TERMS]
+
+
+def most_specific(words: list[bytes], seen: dict[bytes, tuple[int, int]]) -> list[bytes]:
+    """Of a word and its beginnings that occur equally often, only the longest."""
+    longest: dict[tuple, bytes] = {}
+    for word in words:
+        key = (word[:STEMS[0]], *seen[word])
+        if len(word.rstrip(b"*")) > len(longest.get(key, b"").rstrip(b"*")) or (
+            word.rstrip(b"*") == longest[key].rstrip(b"*") and not word.endswith(b"*")
+        ):
+            longest[key] = word
+    return list(longest.values())
 
 
 def train(rows: Iterator[tuple[str, int]]) -> tuple[float, dict[bytes, float]]:
@@ -154,24 +177,26 @@ def _linear(bags: list[set[bytes]], target: np.ndarray) -> tuple[float, dict[byt
         if t:
             toxic.update(bag)
     share = max(1.0 / n, hard.mean())
-    telling = []
+    telling: dict[bytes, float] = {}
     for word, k in seen.items():
         if k >= 5:
             expected = k * share
             surplus = (toxic[word] - expected) ** 2 / (expected * max(1e-9, 1 - share))
             if surplus > 20:
-                telling.append((-surplus, word))
-    vocabulary = {word: j for j, (_, word) in enumerate(sorted(telling)[:CLASSIFIER_WORDS])}
+                telling[word] = surplus
+    kept = most_specific(list(telling), {w: (seen[w], toxic[w]) for w in telling})
+    kept = sorted(kept, key=lambda w: (-telling[w], w))[:CLASSIFIER_WORDS]
+    vocabulary = {word: j for j, word in enumerate(kept)}
     x = np.zeros((n, len(vocabulary)), np.float32)
     for i, bag in enumerate(bags):
         x[i, [vocabulary[w] for w in bag & vocabulary.keys()]] = 1
     weight, bias = np.zeros(x.shape[1], np.float32), float(np.log(share / max(1e-6, 1 - share)))
     moved, moved_bias = np.zeros_like(weight), 0.0
-    for step in range(300):
+    for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(x @ weight + bias, -50, 50)))
         error = ((p - target) / n).astype(np.float32)
-        moved = 0.9 * moved - 4.0 * (x.T @ error + 1e-4 * weight)
-        moved_bias = 0.9 * moved_bias - 4.0 * float(error.sum())
+        moved = 0.9 * moved - 8.0 * (x.T @ error + 1e-5 * weight)
+        moved_bias = 0.9 * moved_bias - 8.0 * float(error.sum())
         weight, bias = weight + moved, bias + moved_bias
     return bias, {w: float(weight[j]) for w, j in vocabulary.items()}
 
