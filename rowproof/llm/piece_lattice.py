@@ -18,9 +18,11 @@ the chunks are then traced back independently of each other.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,9 +39,11 @@ MARK = "▁"
 CHUNK_CHARS = 32_768
 
 #: Stretches and piece pairs that a worker remembers.
-CACHE_ENTRIES = 300_000
+CACHE_STRETCHES = 300_000
+CACHE_PAIRS = 1_000_000
 
 NEVER = -np.inf
+BYTES, NOTHING = -2, -3  # instead of a piece: a character's bytes; no path at all
 START = (0, 0, -1)  # the state before the first character: no piece ends there
 
 
@@ -56,9 +60,10 @@ class Pieces:
     texts: list[bytes]  # what each id decodes to
     byte_ids: list[int]
     longest: int
-    pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    strings: list[str] = field(default_factory=list)
+    ending: dict[str, int]  # the longest piece that ends in two given characters
+    strings: list[str]
+    pairs: dict[int, bool] = field(default_factory=dict)
+    known: dict[str, bytes] = field(default_factory=dict)
 
     @staticmethod
     def load(model_file: str) -> Pieces:
@@ -80,7 +85,10 @@ class Pieces:
                 texts.append(piece.replace(MARK, " ").encode())
         if any(MARK in p.lstrip(MARK) or (p[:1] == MARK and p[1:2] == MARK and p.strip(MARK)) for p in ids):
             raise ValueError("a piece holds a blank mark behind another character")
-        return Pieces(ids, rank, texts, byte_ids, max(map(len, ids)), strings=strings)
+        ending: dict[str, int] = {}
+        for piece in ids:
+            ending[piece[-2:]] = max(ending.get(piece[-2:], 1), len(piece))
+        return Pieces(ids, rank, texts, byte_ids, max(map(len, ids)), ending, strings)
 
     def _merged(self, text: str) -> list[str]:
         """Byte-pair merging as defined: the best pair first, of equal ones the leftmost."""
@@ -97,10 +105,10 @@ class Pieces:
 
     def follows(self, left: int, right: int) -> bool:
         """Whether piece ``right`` may stand behind ``left`` (-1: at the start)."""
-        key = (left, right)
+        key = left << 20 | right
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > 4 * CACHE_ENTRIES:
+            if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
             b = self.strings[right]
             if left < 0:
@@ -112,57 +120,84 @@ class Pieces:
         return found
 
     def edges(self, text: str, end: int) -> Iterator[tuple[int, int]]:
-        """(start, id) of the edges that end at a node; -2 stands for a character's bytes."""
-        ids, found = self.ids, False
-        for start in range(max(0, end - self.longest), end):
-            k = ids.get(text[start:end])
+        """(start, id) of the edges that end at a node; BYTES stands for a character's bytes."""
+        get, k = self.ids.get, None
+        for start in range(max(0, end - self.ending.get(text[max(0, end - 2):end], 1)), end):
+            k = get(text[start:end])
             if k is not None:
-                found = found or start == end - 1
                 yield start, k
-        if not found:
-            yield end - 1, -2
-
-    def _stretch(self, text: str) -> tuple[int, ...]:
-        """Viterbi over one stretch: at each node at most one piece is reached by weight 0."""
-        last: list[tuple[int, int]] = [(0, -1)]
-        for end in range(1, len(text) + 1):
-            for start, k in self.edges(text, end):
-                before = last[start][1]
-                if k == -2 or before == -2 or self.follows(before, k):
-                    last.append((start, k))
+        if k is None:
+            yield end - 1, BYTES
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Viterbi over new stretches: at each node one piece at most is reached by weight 0.
+
+        What reaches a node depends on the text before it alone. In sorted order, a stretch
+        goes on from the nodes it shares with the one before.
+        """
+        get, pairs, follows, ending = self.ids.get, self.pairs, self.follows, self.ending
+        last, came, previous = [-1], [0], ""
+        for text in sorted(stretches):
+            shared = 0
+            for a, b in zip(text, previous):  # noqa: B905  the shorter one ends it
+                if a != b:
                     break
-            else:
-                last.append((end, -3))  # not reachable
-        path, at = [], len(text)
-        while at:
-            start, k = last[at]
-            if k == -2:
-                path += [self.byte_ids[b] for b in reversed(text[start:at].encode("utf-8", "replace"))]
-            else:
-                path.append(k)
-            at = start
-        return tuple(reversed(path))
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text in marked form, from one passing node to another."""
-        known = self.known
-        if len(known) > CACHE_ENTRIES:
+                shared += 1
+            del last[shared + 1:], came[shared + 1:]
+            for end in range(shared + 1, len(text) + 1):
+                # The edges of this node, written out for speed.
+                start = end - ending.get(text[end - 2:end] if end > 1 else text[0], 1)
+                if start < 0:
+                    start = 0
+                reached_by, k = NOTHING, None
+                while start < end:
+                    k = get(text[start:end])
+                    if k is not None:
+                        before = last[start]
+                        fits = before == BYTES or pairs.get(before << 20 | k)
+                        if fits is None:
+                            fits = follows(before, k)
+                        if fits:
+                            reached_by = k
+                            break
+                    start += 1
+                if reached_by == NOTHING and k is None:
+                    start, reached_by = end - 1, BYTES
+                last.append(reached_by)
+                came.append(start)
+            path, at = [], len(text)
+            while at:
+                k = last[at]
+                if k == BYTES:
+                    path += self._bytes_of(text[came[at]:at])
+                else:
+                    path.append(k)
+                at = came[at]
+            path.reverse()
+            self.known[text] = packed(path)
+            previous = text
+
+    def _bytes_of(self, text: str) -> list[int]:
+        """Ids of a character's bytes, the last first."""
+        return [self.byte_ids[b] for b in reversed(text.encode("utf-8", "replace"))]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts in marked form, each from one passing node to another."""
+        known, split = self.known, [_STRETCH.findall(t) for t in texts]
+        if len(known) > CACHE_STRETCHES:
             known.clear()
-        out: list[int] = []
-        for stretch in _STRETCH.findall(text):
-            ids = known.get(stretch)
-            if ids is None:
-                ids = known[stretch] = self._grown(stretch)
-            out += ids
-        return out
-
-    def _grown(self, stretch: str) -> tuple[int, ...]:
-        """A known stretch and a closing sign: weight 0 if the sign may follow its last piece."""
-        if stretch[-1] in ".,;:!?" and len(stretch) > 2:
-            stem, sign = self.known.get(stretch[:-1]), self.ids.get(stretch[-1])
-            if stem and sign is not None and stem[-1] not in self.byte_ids and self.follows(stem[-1], sign):
-                return (*stem, sign)
-        return self._stretch(stretch)
+        self._learn([s for s in set().union(*split) if s not in known])
+        return [b"".join(map(known.__getitem__, stretches)) for stretches in split]
+
+
+@lru_cache(64)
+def _packer(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return _packer(len(ids)).pack(*ids)
 
 
 # A run of marks with what follows up to the next mark; a line feed stands alone.
@@ -174,9 +209,9 @@ def marked(text: str) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
-def decode(pieces: Pieces, ids: list[int]) -> str:
-    """The text of ids, without the blank that encoding puts in front."""
-    body = b"".join(map(pieces.texts.__getitem__, ids))
+def decode(pieces: Pieces, ids: bytes) -> str:
+    """The text of packed ids, without the blank that encoding puts in front."""
+    body = b"".join(map(pieces.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
     return (body[1:] if body[:1] == b" " else body).decode("utf-8", "replace")
 
 
@@ -233,7 +268,7 @@ def reached(pieces: Pieces, chunk: Chunk, entries: list[tuple[int, int, int]], u
             if start < chunk.begin or start >= until or start not in at:
                 continue
             for before, (mask, *_) in at[start].items():
-                if k == -2 or before == -2 or pieces.follows(before, k):
+                if k == BYTES or before == BYTES or pieces.follows(before, k):
                     old = at.setdefault(end, {}).get(k, (0, start, before))
                     at[end][k] = (old[0] | mask, old[1], old[2])
     return at
@@ -277,8 +312,8 @@ def prefixes(matrices: list[np.ndarray]) -> list[np.ndarray]:
     return done
 
 
-def trace(pieces: Pieces, chunk: Chunk, entry: int, exit_: int) -> list[int]:
-    """Ids of the pieces that start inside the chunk, given where it is entered and left."""
+def trace(pieces: Pieces, chunk: Chunk, entry: int, exit_: int) -> bytes:
+    """Packed ids of the pieces that start inside the chunk, given where it is entered and left."""
     entries, exits = chunk.entries(pieces), chunk.exits(pieces)
     ahead, behind, k = exits[exit_]
     low, high = chunk.passing()
@@ -289,16 +324,16 @@ def trace(pieces: Pieces, chunk: Chunk, entry: int, exit_: int) -> list[int]:
     head = _walk(pieces, chunk.text, at, low, next(iter(at[low])))
     tail = Chunk(chunk.text, high, chunk.end, True, chunk.last)
     at = reached(pieces, tail, [START], chunk.end)
-    return head + pieces.encode(chunk.text[low:high]) + _walk(pieces, chunk.text, at, chunk.end + behind, k)
+    return head + pieces.encode([chunk.text[low:high]])[0] + _walk(pieces, chunk.text, at, chunk.end + behind, k)
 
 
-def _walk(pieces: Pieces, text: str, at: dict, end: int, k: int) -> list[int]:
+def _walk(pieces: Pieces, text: str, at: dict, end: int, k: int) -> bytes:
     path: list[int] = []
     while True:
         _, start, before = at[end][k]
         if start < 0:
-            return path[::-1]
-        path += [pieces.byte_ids[b] for b in reversed(text[start:end].encode("utf-8", "replace"))] if k == -2 else [k]
+            return packed(path[::-1])
+        path += pieces._bytes_of(text[start:end]) if k == BYTES else [k]
         end, k = start, before
 
 
@@ -318,17 +353,14 @@ def _chunk_of(row: dict) -> Chunk:
 
 
 def _small_ids(docs: DataFrame, shared, name: str) -> DataFrame:
-    """Adds the ids of documents that are one chunk; others get null."""
-    schema = docs.select("*", F.lit(None).cast("array<int>").alias(name)).schema
+    """Adds the ids of documents that are one chunk each."""
+    schema = docs.select("*", F.lit(None).cast("binary").alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared()
         for batch in batches:
-            ids = []
-            for text in batch.column("text").to_pylist():
-                text = marked(text or "")
-                ids.append(pieces.encode(text) if len(text) <= CHUNK_CHARS else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, name])
+            ids = pieces.encode([marked(t or "") for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -380,16 +412,24 @@ def _giant_ids(giants: DataFrame, shared) -> DataFrame:
         for batch in batches:
             ids = [trace(pieces, _chunk_of(r), r["entry"], r["exit"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("k"), pa.array(ids, pa.list_(pa.int32()))], ["row", "k", "ids"]
+                [batch.column("row"), batch.column("k"), pa.array(ids, pa.binary())], ["row", "k", "ids"]
             )
 
-    traced = chunks.join(settle(resolved, "states"), ["row", "k"]).mapInArrow(back, "row bigint, k int, ids array<int>")
+    traced = chunks.join(settle(resolved, "states"), ["row", "k"]).mapInArrow(back, "row bigint, k int, ids binary")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [b"".join(parts) for parts in batch.column("parts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(ids, pa.binary())], ["row", "ids"])
+
+    # A document's parts meet in one row, as the document itself does.
     whole = traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
-    return whole.select("row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+    return whole.select("row", F.transform("parts", lambda p: p["ids"]).alias("parts")).mapInArrow(joined, "row bigint, ids binary")
 
 
 def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
-    """``docs`` with a column ``name``: the ids of each whole text, without special ids.
+    """``docs`` with a column ``name``: the ids of each whole text, without special ids, packed
+    as little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids. Rows are independent of each other, so repeated rows get
     equal ids; an empty table gives an empty result. All columns pass through; ``name`` must not
@@ -409,7 +449,7 @@ def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
 
 
 def decoded(df: DataFrame, model_file: str, ids: str, name: str) -> DataFrame:
-    """``df`` with a column ``name``: the text of the ids in column ``ids``."""
+    """``df`` with a column ``name``: the text of the packed ids in column ``ids``."""
     bound_batches(df.sparkSession)
     shared = share(df.sparkSession, Pieces.load(model_file))
     schema = df.select("*", F.lit(None).cast("string").alias(name)).schema
@@ -437,15 +477,14 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared()
         for batch in batches:
-            column = batch.column("ids")
-            lists = column.to_pylist()
-            sums = [zlib.crc32(np.array(v, "<u4").tobytes()) for v in lists]
+            lists = batch.column("ids").to_pylist()
+            sums = [zlib.crc32(v) for v in lists]
             same = [
                 decode(pieces, v) == (t or "").replace(MARK, " ")
                 for v, t in zip(lists, batch.column("text").to_pylist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(v) for v in lists], pa.int64()),
+                [batch.column("doc_id"), pa.array([len(v) // 4 for v in lists], pa.int64()),
                  pa.array(sums, pa.int64()), pa.array(same)],
                 ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
             )
