@@ -21,6 +21,15 @@ from rowproof.session import settle, settle_measured
 #: Rounds of label propagation at most; it ends earlier when no document moves.
 ROUNDS = 12
 
+#: By how much a shard may exceed its even share while labels move; the layout evens it out.
+SLACK = 0.5
+
+#: Share of the capacity that must be free for a shard to be moved to.
+OPEN = 0.05
+
+#: Members that leave even a full shard for one that holds more of their group.
+FEW = 3
+
 _ROW_BITS = 33  # of monotonically_increasing_id: above is the task, below the row
 
 
@@ -37,13 +46,15 @@ def _moved(state: DataFrame, capacity: float, step: int) -> DataFrame:
     """The state after one round, with ``moved`` members per row that came in."""
     loads = settle(_loads(state), "loads")  # one row per shard
     placed = state.join(loads, "shard").withColumn("room", F.greatest(F.lit(capacity) - F.col("load"), F.lit(0.0)))
-    # The target is where most members are that can still grow; ties go to the lowest shard.
+    # The target is where most members are that can still grow; ties go to the lowest shard. A
+    # shard that is all but full is none, or rounds would pass with a handful of moves.
+    open_from = max(1.0, OPEN * capacity)
     best = placed.groupBy("group").agg(
-        F.max(F.when(F.col("room") >= 1, F.struct("n", (-F.col("shard")).alias("s")))).alias("best")
-    ).select("group", (-F.col("best.s")).alias("target"))
-    # Members in full shards stay.
+        F.max(F.when(F.col("room") >= open_from, F.struct("n", (-F.col("shard")).alias("s")))).alias("best")
+    ).select("group", (-F.col("best.s")).alias("target"), F.col("best.n").alias("there"))
+    # Where a large part of a group has filled a shard it stays, so that it need not fit in one.
     wishes = placed.join(best.filter("target IS NOT NULL"), "group").filter(
-        (F.col("shard") != F.col("target")) & (F.col("room") >= 1)
+        (F.col("shard") != F.col("target")) & ((F.col("room") >= open_from) | (2 * F.col("n") <= F.col("there")) | (F.col("n") <= FEW))
     ).select("group", "shard", "n", "target")
     demand = wishes.groupBy("target").agg(F.sum("n").alias("demand"))
     quotas = settle(
@@ -64,7 +75,7 @@ def _moved(state: DataFrame, capacity: float, step: int) -> DataFrame:
     return summed.filter("n > 0")
 
 
-def propagate(members: DataFrame, shards: int, capacity: float, rounds: int = ROUNDS) -> DataFrame:
+def propagate(members: DataFrame, capacity: float, rounds: int = ROUNDS) -> DataFrame:
     """(group, shard, n): where the members of each group (group, shard, n) come to lie."""
     state = settle(members.select("group", "shard", "n"), "labels")
     for step in range(rounds):
@@ -99,7 +110,7 @@ def assign_shards(docs: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFra
     counted = light.filter("group IS NOT NULL").groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
     whole = counted.groupBy("group").agg(F.sum("n").alias("all"))
     linked = counted.join(whole.filter("all > 1").select("group"), "group")
-    state = propagate(linked, shards, capacity, rounds)
+    state = propagate(linked, (1 + SLACK) * capacity, rounds)
 
     # Each group's members are dealt to its shards in these shares, by the hash of the doc_id.
     spread = state.groupBy("group").agg(

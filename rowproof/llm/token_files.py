@@ -86,7 +86,7 @@ class WordEncoder:
         split = [t.split() for t in texts]
         if len(self.memory) > CACHE_WORDS:
             self.memory.clear()
-        missing = set().union(*split) - self.memory.keys() if split else set()
+        missing = {w for w in set().union(*split) if w not in self.memory}
         if missing:
             self._learn(missing)
         get = self.memory.__getitem__

@@ -48,6 +48,9 @@ _SHOUTED = re.compile(rb"[A-Z]{4,}[^\n]{0,40}!")
 _STRUNG = re.compile(rb"[!?]{3,}")
 ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
+#: Correlation, given the label, from which voters share their weight.
+CORRELATED = 0.2
+
 
 def words_of(text: str | None) -> set[bytes]:
     """Distinct words, A-Z lower-cased, without punctuation, and their beginnings.
@@ -106,7 +109,8 @@ def fit_label_model(cast: np.ndarray, known: np.ndarray, rounds: int = 20) -> La
         spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-6
         correlation = (rest.T @ rest) / n / np.outer(spread, spread)
         np.fill_diagonal(correlation, 1)
-        shared = np.where(np.abs(correlation) > 0.1, np.abs(correlation), 0)
+        # Voters that tend to exclude each other are no repetition and keep their weight.
+        shared = np.where(correlation > CORRELATED, correlation, 0)
         weight = 1 / shared.sum(axis=1)
         model = LabelModel(prior, likelihood, correlation, weight)
         belief = np.where(known >= 0, known, model.posterior(cast))
@@ -120,7 +124,7 @@ class Classifier:
 
     def score(self, text: str | None) -> float:
         known = self.weight
-        logit = self.bias + sum(known[w] for w in words_of(text) & known.keys())
+        logit = self.bias + sum(known[w] for w in words_of(text) if w in known)
         return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
 
