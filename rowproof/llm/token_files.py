@@ -33,10 +33,10 @@ END_ID = 2
 SHARD_BYTES = 8 * 1024 * 1024
 
 #: Keys in one part of the index, about.
-PART_KEYS = 16_384
+PART_KEYS = 4096
 
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 
 
 @dataclass
