@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, shape, table
+from rowproof.functions.dates import date_text, parse_date
 from rowproof.operators.identity import running_total
 from rowproof.operators.metrics import latest_batch_count, run_state
 from rowproof.operators.novelty import new_rows
 from rowproof.schemas import schema_of
 from rowproof.session import scratch_path
-from rowproof.sinks.files import write_by_value, write_csv
+from rowproof.plans.staging import stage_city, stage_single
+from rowproof.sinks.files import write_by_value, write_csv, write_staged
 from rowproof.sinks.targets import project_to
 from rowproof.sources.capture import file_facts
 from rowproof.sources.csv import read_csv, read_csv_text
@@ -53,21 +55,65 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, df.schema, multi_line=True)
 
 
+@check("src_csv_inferred", "SELECT * FROM <orders_gaps> AS g")
+def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types are inferred; money comes back as double and is told so by the cast."""
+    df = shape(spark, sf_dir, "orders_gaps")
+    path = scratch_path(spark, "csv-inferred")
+    write_csv(df, path)
+    found = read_csv(spark, path)
+    exact = F.col("o_totalprice").cast("decimal(15,2)").cast("string")
+    return found.withColumn("o_totalprice", exact).to(df.schema)
+
+
+@check(
+    "date_text_and_back",
+    """
+    SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day_text,
+           CAST(o_orderdate AS DATE) AS day
+    FROM orders
+    """,
+)
+def date_text_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    text = date_text(F.col("o_orderdate").cast("date"))
+    return orders.select("o_orderkey", text.alias("day_text"), parse_date(text, "yyyy-MM-dd").alias("day"))
+
+
+@check(
+    "sink_staged_set",
+    """
+    SELECT 'city_dim' AS staged, `City` || '/' || `State` AS member FROM <registrations> AS g GROUP BY ALL
+    UNION ALL
+    SELECT 'state_dim', `State` FROM <registrations> AS h GROUP BY ALL
+    """,
+)
+def sink_staged_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged frames written side by side below one folder and read back."""
+    df = shape(spark, sf_dir, "registrations")
+    root = scratch_path(spark, "staged-set")
+    write_staged({"city_dim": stage_city(df), "state_dim": stage_single(df, "State", "state")}, root)
+    cities, states = (spark.read.parquet(f"{root}/{name}") for name in ("city_dim", "state_dim"))
+    place = F.concat_ws("/", "city", "state").alias("member")
+    return cities.select(F.lit("city_dim").alias("staged"), place).union(
+        states.select(F.lit("state_dim"), "state")
+    )
+
+
 _DAILY = """
-    SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM {events}
-    WHERE event_type = '{kind}' GROUP BY 1
+    SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM {events} GROUP BY 1, 2
 """
 
 
-@check("src_latest_file", _DAILY.format(events="events", kind="purchase"))
+@check("src_latest_file", _DAILY.format(events="events"))
 def src_latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counts are dropped in one folder per event type; the last one is read."""
+    """Daily counts of ever more events are dropped in one folder; the last file has them all."""
     events = table(spark, sf_dir, "events")
     folder = scratch_path(spark, "drop-folder")
-    for kind in ("view", "click", "purchase"):
-        daily = spark.sql(_DAILY.format(events="{events}", kind=kind), events=events)
+    for rows in (events.filter("event_type = 'view'"), events.filter("event_type <> 'error'"), events):
+        daily = spark.sql(_DAILY, events=rows)
         daily.coalesce(1).write.mode("append").csv(folder, header=True)
-    return read_csv(spark, latest_file(spark, folder), "day date, n bigint")
+    return read_csv(spark, latest_file(spark, folder), "day date, event_type string, n bigint")
 
 
 _MONTHLY = """
@@ -82,11 +128,11 @@ _MONTHLY = """
     "src_multi_year_merge",
     f"""
     SELECT month, priority, n, CAST(NULL AS INTEGER) AS clerk
-    FROM ({_MONTHLY.format(orders="orders")}) AS m WHERE year BETWEEN 1994 AND 2000
+    FROM ({_MONTHLY.format(orders="orders")}) AS m
     """,
 )
 def src_multi_year_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly folders with an older and a newer file each; one asked-for year is absent."""
+    """Yearly folders with an older and a newer file each; all of them are found."""
     orders = table(spark, sf_dir, "orders")
     base = scratch_path(spark, "yearly")
     for rows in (orders.filter("o_orderstatus = 'F'"), orders):
@@ -95,7 +141,6 @@ def src_multi_year_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_yearly(
         spark,
         base,
-        years=range(1994, 2001),
         folder_name="year={year}",
         columns=["month", "priority", "n", "clerk"],
         types={"month": "int", "n": "bigint", "clerk": "int"},

@@ -246,8 +246,9 @@ def stage_fee(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_fee(_registrations(spark, sf_dir))
 
 
-_VEHICLE_SQL = "SELECT DISTINCT " + ", ".join(
-    f"`{source}` AS {name}" for source, name in staging.VEHICLE_COLUMNS.items()
+_VEHICLE_SQL = "SELECT DISTINCT CAST(`DOL Vehicle ID` AS BIGINT) AS dol_vehicle_id, " + ", ".join(
+    f"`{source}` AS {name}"
+    for source, name in staging.VEHICLE_COLUMNS.items() if name != "dol_vehicle_id"
 ) + " FROM <registrations> AS g"
 
 
@@ -258,7 +259,7 @@ def stage_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _INT = "TRY_CAST(regexp_extract(\"{c}\", '^([+-]?[0-9]+)([.][0-9]*)?$', 1) AS INTEGER) AS {n}"
 _STAGED_FACTS = f"""
-    SELECT `DOL Vehicle ID` AS dol_vehicle_id,
+    SELECT CAST(`DOL Vehicle ID` AS BIGINT) AS dol_vehicle_id,
            CAST(strptime(`Transaction Date`, '%B %d %Y') AS DATE) AS transaction_date,
            CAST(strptime(`Sale Date`, '%B %d %Y') AS DATE) AS sale_date,
            `City` AS city, `State` AS state, `County` AS county,
@@ -441,7 +442,7 @@ _FACTS = f"""
         SELECT row_number() OVER (ORDER BY {_FEE_FLAGS}) AS fee_id, *
         FROM (SELECT DISTINCT {_FEES_SQL} FROM <registrations> AS g) AS d
     ) AS e USING ({_FEE_FLAGS})
-    LEFT JOIN ({_VEHICLE_IDS}) AS v ON f.dol_vehicle_id = CAST(v.dol_vehicle_id AS STRING)
+    LEFT JOIN ({_VEHICLE_IDS}) AS v ON f.dol_vehicle_id = v.dol_vehicle_id
 """
 _EARLIER = f"transaction_date <= DATE '{LOADED_UNTIL}'"
 _FACT_SQL = """
@@ -476,6 +477,46 @@ def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark, warehouse.FACT_TABLE, schemas.FACTS)
 
 
+@check(
+    "load_fact_bad_keys",
+    """
+    SELECT count(*) AS n_facts,
+           count(*) FILTER (WHERE `DOL Vehicle ID` NOT LIKE '%X' AND `DOL Vehicle ID` IN (
+               SELECT `DOL Vehicle ID` FROM <registrations_bad_ids> AS v
+               WHERE `Electric Utility` IS NOT NULL)) AS n_with_vehicle
+    FROM <registrations_bad_ids> AS g
+    """,
+)
+def load_fact_bad_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are no numbers neither stop the load nor find a vehicle; no fact is lost."""
+    store = _store(spark, "load-bad-keys")
+    df = settle(shape(spark, sf_dir, "registrations_bad_ids"), "bad-ids")
+    _load_all_dims(spark, store, df)
+    warehouse.load_fact(spark, store, staging.stage_fact(df))
+    facts = store.read(spark, warehouse.FACT_TABLE, schemas.FACTS)
+    return facts.agg(
+        F.count(F.lit(1)).alias("n_facts"), F.count("vehicle_id").alias("n_with_vehicle")
+    )
+
+
+@check(
+    "load_star_days",
+    """
+    SELECT CAST(d AS DATE) AS full_date, CAST(year(d) AS INTEGER) AS year,
+           CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+           dayname(d) AS day_of_week
+    FROM (SELECT unnest(generate_series(
+              CAST(date_trunc('year', min(o_orderdate)) AS DATE),
+              CAST(date_trunc('year', max(o_orderdate)) AS DATE) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+              INTERVAL 1 DAY)) AS d
+          FROM orders) AS days
+    """,
+)
+def load_star_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar covers the years of the facts."""
+    return staging.stage_days(staging.stage_fact(_registrations(spark, sf_dir)))
+
+
 @check(
     "load_fact_drop",
     _FACT_SQL.format(

@@ -121,6 +121,26 @@ SHAPES["registrations"] = """
     JOIN region ON n_regionkey = r_regionkey
 """
 
+# Some vehicle ids are no numbers.
+SHAPES["registrations_bad_ids"] = SHAPES["registrations"].replace(
+    "CAST(o_custkey AS STRING) AS `DOL Vehicle ID`",
+    "CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_custkey AS STRING) || 'X'"
+    " ELSE CAST(o_custkey AS STRING) END AS `DOL Vehicle ID`",
+)
+
+# Dates in all spellings that staging reads: one-digit days, blanks around, ISO, slashes.
+SHAPES["orders_spelled"] = """
+    SELECT o_orderkey,
+           CASE o_orderpriority
+                WHEN '1-URGENT' THEN replace(DATE_TEXT(o_orderdate), ' 0', ' ')
+                WHEN '2-HIGH' THEN '  ' || DATE_TEXT(o_orderdate) || ' '
+                WHEN '3-MEDIUM' THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
+                WHEN '5-LOW' THEN 'no date'
+                ELSE DATE_TEXT(o_orderdate) END AS transaction_date,
+           CAST(NULL AS STRING) AS sale_date
+    FROM orders
+"""
+
 # Registrations of status F are delivered twice.
 SHAPES["registrations_redelivered"] = f"""
     SELECT * FROM ({SHAPES['registrations']}) AS a

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, shape, table
+from rowproof.functions.columns import named
 from rowproof.operators.copies import (
     count_copies,
     distinct_rows,
@@ -25,7 +26,7 @@ from rowproof.operators.ledger import (
 from rowproof.operators.lookup import lookup, missing_counts, reference_check, resolve_references
 from rowproof.operators.metrics import error_metrics, run_metrics
 from rowproof.operators.profile import null_profile
-from rowproof.operators.rules import not_in_future, not_null, required
+from rowproof.operators.rules import not_in_future, not_null, readable, required
 from rowproof.operators.validate import FINDINGS, Validation, validate
 from rowproof.reference_data import ERROR_MESSAGES
 from rowproof.session import settle
@@ -43,9 +44,9 @@ _ANY_GAP = " OR ".join(f"{c} IS NULL" for c in GAP_COLUMNS)
 
 
 def _findings(checked: Validation, key: str = "o_orderkey") -> DataFrame:
-    found = checked.rejected.select(key, F.explode(FINDINGS).alias("f"))
+    found = checked.rejected.select(named(key), F.explode(FINDINGS).alias("f"))
     return found.select(
-        key,
+        named(key),
         F.col("f.column_name").alias("column_name"),
         code_for(F.col("f.error_message")).alias("error_code"),
     )
@@ -125,7 +126,9 @@ def validate_duplicates_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_ledger(counted, FILE_ID, per_row=True).records
 
 
-_PARSED = "CAST(try_strptime({c}, '%B %d %Y') AS DATE)"
+_PARSED = (
+    "CAST(try_strptime(trim({c}), ['%B %d %Y', '%B %d, %Y', '%Y-%m-%d', '%m/%d/%Y']) AS DATE)"
+)
 _TRANSACTION, _SALE = _PARSED.format(c="transaction_date"), _PARSED.format(c="sale_date")
 _LATE = (
     f"(coalesce({_TRANSACTION} > DATE '2001-01-01', FALSE)"
@@ -164,6 +167,43 @@ def validate_unparseable_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _findings(validate(df, rules, attribution="first"))
 
 
+@check(
+    "validate_date_spellings",
+    f"""
+    SELECT o_orderkey, 'transaction_date / sale_date' AS column_name,
+           CASE WHEN {_LATE} THEN 1012 ELSE 1005 END AS error_code
+    FROM <orders_spelled> AS g WHERE {_LATE} OR {_UNREAD}
+    """,
+)
+def validate_date_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule judges every spelling that staging would load as a date."""
+    df = shape(spark, sf_dir, "orders_spelled")
+    rules = not_in_future(_DATES, AS_OF, unparseable="reject")
+    return _findings(validate(df, rules, attribution="first"))
+
+
+@check(
+    "validate_types",
+    """
+    SELECT `Sale Price`, 'DOL Vehicle ID' AS column_name, 1003 AS error_code
+    FROM <registrations_bad_ids> AS g WHERE `DOL Vehicle ID` LIKE '%X'
+    UNION ALL
+    SELECT `Sale Price`, 'City' AS column_name, 1006 AS error_code
+    FROM <registrations_bad_ids> AS g WHERE `City` IS NOT NULL
+    """,
+)
+def validate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers, decimals and, as a decimal, a column that holds names only."""
+    df = shape(spark, sf_dir, "registrations_bad_ids")
+    rules = [
+        readable("DOL Vehicle ID", "bigint"),
+        readable("Model Year"),
+        readable("Base MSRP", "decimal(15,2)"),
+        readable("City", "decimal(15,2)"),
+    ]
+    return _findings(validate(df, rules, attribution="all"), "Sale Price")
+
+
 @check(
     "validate_mandatory_first",
     f"""

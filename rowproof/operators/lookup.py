@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rowproof.functions.columns import named, named_all
 from rowproof.operators.rules import has_reference
@@ -33,11 +34,17 @@ def lookup(
 
     ``on`` maps key columns of ``df`` to those of ``dim``; ``take`` maps columns of
     ``dim`` to their names in the result. A null key finds nothing. ``unique`` keeps one
-    match, the smallest, where ``dim`` repeats a key, so that rows never multiply.
+    match, the smallest, where ``dim`` repeats a key, so that rows never multiply. Keys of
+    unlike type are refused: a text compared with a number would fail on the first text that
+    is none.
 
     The planner broadcasts ``dim`` when its size is under the session's threshold and
     otherwise shuffles both sides, splitting the partitions of hot keys.
     """
+    for ours, theirs in on.items():
+        kinds = [isinstance(side.schema[c].dataType, StringType) for side, c in ((df, ours), (dim, theirs))]
+        if kinds[0] != kinds[1]:
+            raise TypeError(f"key {ours} and key {theirs} are not of one type")
     keys = [named(key).alias(f"_key{i}") for i, key in enumerate(on.values())]
     taken = [named(source).alias(name) for source, name in take.items()]
     right = dim.select(*keys, *taken)

@@ -70,10 +70,16 @@ def run_state(events: DataFrame, run_id: str, event_time: str, fields: Mapping[s
     """Latest state per run from an append-only event table.
 
     Each event sets some fields and leaves the others null; a field keeps its newest
-    value. ``fields`` maps event columns to names in the result.
+    value, the greatest one of those set at the same time. ``fields`` maps event columns to
+    names in the result.
     """
     newest = [
-        F.max_by(named(source), F.when(named(source).isNotNull(), named(event_time))).alias(name)
+        F.max(
+            F.when(
+                named(source).isNotNull(),
+                F.struct(named(event_time).alias("at"), named(source).alias("value")),
+            )
+        )["value"].alias(name)
         for source, name in fields.items()
     ]
     return events.groupBy(named(run_id)).agg(*newest)

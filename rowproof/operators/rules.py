@@ -10,15 +10,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowproof.functions.columns import named
-from rowproof.functions.dates import parse_date
+from rowproof.functions.dates import KNOWN_FORMATS, parse_date_any
+from rowproof.functions.numbers import to_int
 from rowproof.reference_data import (
     BAD_DATE,
     BAD_ENUM,
+    BAD_NUMBER,
     MISSING_REFERENCE,
     MISSING_REQUIRED,
     NULL_VALUE,
     OUT_OF_RANGE,
-    REGISTRATION_DATE_FORMAT,
+    WRONG_TYPE,
 )
 
 
@@ -53,26 +55,38 @@ def required(columns: Sequence[str]) -> list[Rule]:
 def not_in_future(
     columns: Sequence[str],
     as_of: datetime.date | None = None,
-    fmt: str = REGISTRATION_DATE_FORMAT,
+    formats: Sequence[str] = KNOWN_FORMATS,
     unparseable: str = "keep",
 ) -> list[Rule]:
     """None of the date texts may lie after ``as_of`` (today when not given).
 
     A null or unreadable date is not a future date. ``unparseable="reject"`` adds a
-    second rule for text that is there but does not fit the format.
+    second rule for text that is there but fits none of the formats. These are the formats
+    that staging reads, so what loads as a date is judged as that date.
     """
     if unparseable not in ("keep", "reject"):
         raise ValueError("unparseable must be 'keep' or 'reject'")
     limit = F.current_date() if as_of is None else F.lit(as_of)
     label = " / ".join(columns)
-    later = [F.coalesce(parse_date(named(c), fmt) > limit, F.lit(False)) for c in columns]
+    later = [F.coalesce(parse_date_any(named(c), formats) > limit, F.lit(False)) for c in columns]
     rules = [Rule(tuple(columns), label, OUT_OF_RANGE, _any(later))]
     if unparseable == "reject":
-        unread = [named(c).isNotNull() & parse_date(named(c), fmt).isNull() for c in columns]
+        unread = [named(c).isNotNull() & parse_date_any(named(c), formats).isNull() for c in columns]
         rules.append(Rule(tuple(columns), label, BAD_DATE, _any(unread)))
     return rules
 
 
+def readable(column: str, kind: str = "int") -> Rule:
+    """Text that is there must be a number of the kind; the record keeps the text as it is.
+
+    Integers are reported as the wrong type, decimals as a wrong number format.
+    """
+    whole = kind in ("int", "bigint")
+    value = to_int(named(column), kind) if whole else F.trim(named(column)).try_cast(kind)
+    message = WRONG_TYPE if whole else BAD_NUMBER
+    return Rule((column,), column, message, named(column).isNotNull() & value.isNull())
+
+
 def one_of(column: str, allowed: Sequence[str]) -> Rule:
     """Text must be one of ``allowed``, in any case; null passes."""
     text = F.lower(F.trim(named(column)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowproof.functions.columns import named
 from rowproof.functions.dates import KNOWN_FORMATS, parse_date_any
@@ -12,7 +13,7 @@ from rowproof.functions.flags import standardize_flag
 from rowproof.functions.numbers import to_int
 from rowproof.operators.copies import distinct_rows
 from rowproof.reference_data import FEE_COLUMNS
-from rowproof.sources.calendar import calendar
+from rowproof.sources.calendar import days_between, with_calendar_parts
 
 # Source column and result name of the dimensions that hold one column.
 SINGLE_COLUMN_DIMS = {
@@ -35,6 +36,8 @@ VEHICLE_COLUMNS = {
     "Primary Use": "primary_use",
     "Electric Utility": "electric_utility",
 }
+# Vehicles are identified by a number, in the dimension and in the facts.
+VEHICLE_KEY_TYPE = "bigint"
 VEHICLE_REQUIRED = ("dol_vehicle_id", "vin_prefix", "model_year", "make", "model")
 
 MEASURES = {
@@ -82,7 +85,10 @@ def stage_fee(df: DataFrame, trim: bool = True, raw: bool = False) -> DataFrame:
 
 
 def stage_vehicle(df: DataFrame, required: Sequence[str] = VEHICLE_REQUIRED) -> DataFrame:
-    return distinct_dim(df, VEHICLE_COLUMNS, required)
+    """Distinct vehicles. An id that is no number is null, and so missing; the rule
+    :func:`rowproof.operators.rules.readable` reports such rows with their text."""
+    vehicle_id = to_int(named("DOL Vehicle ID"), VEHICLE_KEY_TYPE)
+    return distinct_dim(df.withColumn("DOL Vehicle ID", vehicle_id), VEHICLE_COLUMNS, required)
 
 
 def stage_fact(
@@ -93,7 +99,7 @@ def stage_fact(
     ``raw_flags`` leaves the flags as they are, to match a fee dimension staged that way.
     """
     return df.select(
-        named("DOL Vehicle ID").alias("dol_vehicle_id"),
+        to_int(named("DOL Vehicle ID"), VEHICLE_KEY_TYPE).alias("dol_vehicle_id"),
         parse_date_any(named("Transaction Date"), formats).alias("transaction_date"),
         parse_date_any(named("Sale Date"), formats).alias("sale_date"),
         *[named(source).alias(name) for source, name in PLACE_COLUMNS.items()],
@@ -104,7 +110,7 @@ def stage_fact(
 
 
 def stage_star(spark: SparkSession, df: DataFrame) -> dict[str, DataFrame]:
-    """All staged frames by table name."""
+    """All staged frames by table name. The calendar covers the years of the facts' dates."""
     staged = {
         table: stage_single(df, source, name)
         for table, (source, name) in SINGLE_COLUMN_DIMS.items()
@@ -114,5 +120,17 @@ def stage_star(spark: SparkSession, df: DataFrame) -> dict[str, DataFrame]:
     staged["location_dim"] = stage_location(df)
     staged["vehicle_dim"] = stage_vehicle(df)
     staged["facts"] = stage_fact(df)
-    staged["time_dim"] = calendar(spark)
+    staged["time_dim"] = stage_days(staged["facts"])
     return staged
+
+
+def stage_days(facts: DataFrame) -> DataFrame:
+    """Calendar from the first to the last year in which a fact was dealt or sold."""
+    days = ("transaction_date", "sale_date")
+    bounds = facts.agg(
+        F.least(*[F.min(day) for day in days]).alias("first"),
+        F.greatest(*[F.max(day) for day in days]).alias("last"),
+    )
+    first = F.make_date(F.year("first"), F.lit(1), F.lit(1))
+    last = F.make_date(F.year("last"), F.lit(12), F.lit(31))
+    return with_calendar_parts(days_between(bounds, first, last))

@@ -106,7 +106,7 @@ def load_dim(
     added = measured["rows"]
     if added:
         last = existing.agg(F.max(dim.id_column)).first()[0] or 0
-        numbered = assign_ids(fresh, dim.id_column, dim.natural_key, start=last, rows=added)
+        numbered = assign_ids(fresh, dim.id_column, dim.natural_key, start=last)
         store.append(numbered, dim.table)
     return added
 
@@ -128,7 +128,7 @@ def load_dims(
 
 def city_rows(df: DataFrame, state_dim: DataFrame) -> DataFrame:
     """Adds the id of the state."""
-    return lookup(df, state_dim, {"state": "state"}, {"state_id": "state_id"})
+    return lookup(df, state_dim, {"state": "state"}, {"state_id": "state_id"}, unique=True)
 
 
 def location_rows(df: DataFrame, state_dim: DataFrame, city_dim: DataFrame) -> DataFrame:
@@ -138,6 +138,7 @@ def location_rows(df: DataFrame, state_dim: DataFrame, city_dim: DataFrame) -> D
         city_dim,
         {"city": "city", "state_id": "state_id"},
         {"city_id": "city_id"},
+        unique=True,
     )
 
 
@@ -149,19 +150,21 @@ def vehicle_rows(
     electric_utility_dim: DataFrame,
 ) -> DataFrame:
     """Replaces the descriptive texts by the ids of their dimensions."""
-    df = lookup(df, make_dim, {"make": "make"}, {"make_id": "make_id"})
-    df = lookup(df, model_dim, {"model": "model"}, {"model_id": "model_id"})
+    df = lookup(df, make_dim, {"make": "make"}, {"make_id": "make_id"}, unique=True)
+    df = lookup(df, model_dim, {"model": "model"}, {"model_id": "model_id"}, unique=True)
     df = lookup(
         df,
         primary_use_dim,
         {"primary_use": "primary_use"},
         {"primary_use_id": "primary_use_id"},
+        unique=True,
     )
     df = lookup(
         df,
         electric_utility_dim,
         {"electric_utility": "electric_utility_name"},
         {"electric_utility_id": "electric_utility_id"},
+        unique=True,
     )
     return df.drop("make", "model", "primary_use", "electric_utility")
 
@@ -203,28 +206,31 @@ def load_time_dim(spark: SparkSession, store: TableStore, days: DataFrame) -> in
 
 
 def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Staged transactions with the ids of all dimensions; no row is lost or multiplied.
+    """Staged transactions with the ids of all dimensions; no row is lost or multiplied, even
+    where a table written by others repeats a key.
 
     Small dimensions come first, so that rows are narrow when the vehicle lookup, the one
     that may need a shuffle, is reached.
     """
     df = location_rows(staged, dims["state_dim"], dims["city_dim"])
     place = {"city_id": "city_id", "state_id": "state_id", "county": "county"}
-    df = lookup(df, dims["location_dim"], place, {"location_id": "location_id"})
+    df = lookup(df, dims["location_dim"], place, {"location_id": "location_id"}, unique=True)
     df = lookup(
         df,
         dims["transaction_type_dim"],
         {"transaction_type": "transaction_type"},
         {"transaction_type_id": "transaction_type_id"},
+        unique=True,
     )
     flags = {flag: flag for flag in FEE_FLAGS}
-    df = lookup(df, dims["fee_dim"], flags, {"fee_id": "fee_id"})
+    df = lookup(df, dims["fee_dim"], flags, {"fee_id": "fee_id"}, unique=True)
     narrow = df.drop("city", "state", "county", "city_id", "state_id", *FEE_FLAGS)
     return lookup(
         narrow,
         dims["vehicle_dim"],
         {"dol_vehicle_id": "dol_vehicle_id"},
         {"vehicle_id": "vehicle_id"},
+        unique=True,
     )
 
 

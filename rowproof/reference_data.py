@@ -38,7 +38,9 @@ ERROR_MESSAGES = {
 
 MISSING_REQUIRED = ERROR_MESSAGES[1001]
 NULL_VALUE = ERROR_MESSAGES[1002]
+WRONG_TYPE = ERROR_MESSAGES[1003]
 BAD_DATE = ERROR_MESSAGES[1005]
+BAD_NUMBER = ERROR_MESSAGES[1006]
 BAD_ENUM = ERROR_MESSAGES[1010]
 OUT_OF_RANGE = ERROR_MESSAGES[1012]
 MISSING_REFERENCE = ERROR_MESSAGES[1014]

@@ -24,9 +24,8 @@ ADAPTIVE_SETTINGS = {
 }
 
 # Shuffles start with one partition per this much input; adaptive execution merges the
-# ones that turn out small. The cap bounds the bookkeeping of the driver.
+# ones that turn out small.
 INPUT_BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 _local_dirs: dict[str, str] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
@@ -53,7 +52,7 @@ def prepare(spark: SparkSession, input_path: str) -> SparkSession:
     """Set a session up for plans over the files below ``input_path``."""
     partitions = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(MOST_PARTITIONS, stored_bytes(spark, input_path) // INPUT_BYTES_PER_PARTITION),
+        stored_bytes(spark, input_path) // INPUT_BYTES_PER_PARTITION,
     )
     settings = {
         **ADAPTIVE_SETTINGS,

@@ -72,18 +72,22 @@ def align(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> Da
 def merge_yearly(
     spark: SparkSession,
     base: str,
-    years: Iterable[int] = range(2010, 2025),
+    years: Iterable[int] | None = None,
     folder_name: str = "Processed_EVTRA_{year}",
     columns: Sequence[str] = YEARLY_COLUMNS,
     types: Mapping[str, str] | None = None,
 ) -> DataFrame | None:
     """Newest file of each yearly folder, aligned by column name and appended.
 
-    Folders that are missing or hold no CSV file are skipped; None when all are.
+    All folders that fit ``folder_name`` are read, or those of ``years`` only. Folders that are
+    missing or hold no CSV file are skipped; None when all are.
     """
-    names = ",".join(folder_name.format(year=year) for year in years)
+    names = (
+        folder_name.format(year="[0-9][0-9][0-9][0-9]") if years is None
+        else f"{{{','.join(folder_name.format(year=year) for year in years)}}}"
+    )
     try:
-        newest = newest_per_folder(list_files(spark, f"{base}/{{{names}}}")).orderBy("folder")
+        newest = newest_per_folder(list_files(spark, f"{base}/{names}")).orderBy("folder")
         paths = [row.path for row in newest.select("path").toLocalIterator()]
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":

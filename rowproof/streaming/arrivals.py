@@ -13,14 +13,17 @@ from rowproof.operators.ledger import ledger_of, numbered_rejects
 from rowproof.operators.rules import Rule
 from rowproof.operators.validate import validate
 from rowproof.session import scratch_scope, settle
+from rowproof.sources.csv import csv_options
 from rowproof.sources.listing import scanned_file_name
 
 FILE_NAME = "_file_name"
 
 
-def arriving_rows(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """Rows of new CSV files with the name of their file."""
-    stream = spark.readStream.schema(schema).option("header", True).csv(folder)
+def arriving_rows(
+    spark: SparkSession, folder: str, schema: StructType, multi_line: bool = True
+) -> DataFrame:
+    """Rows of new CSV files, read as a batch reads them, with the name of their file."""
+    stream = spark.readStream.schema(schema).options(**csv_options(multi_line)).csv(folder)
     return stream.withColumn(FILE_NAME, scanned_file_name())
 
 
@@ -32,6 +35,7 @@ def validate_arrivals(
     output: str,
     checkpoint: str,
     attribution: str = "all",
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Validate all files not seen before, then stop.
 
@@ -55,7 +59,7 @@ def validate_arrivals(
                 rows.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
 
     return (
-        arriving_rows(spark, folder, schema)
+        arriving_rows(spark, folder, schema, multi_line)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -64,6 +64,8 @@ def test_yearly_folders_are_merged_by_name(spark, tmp_path, rows):
     assert merged.dtypes == [("b", "int"), ("a", "string"), ("c", "date")]
     assert rows(merged) == [(None, "x", None), (2, "1", None)]
     assert merge_yearly(spark, str(tmp_path), [1990], "P_{year}", ["a"]) is None
+    found = merge_yearly(spark, str(tmp_path), folder_name="P_{year}", columns=["a"])
+    assert rows(found) == [("1",), ("5",), ("x",)]
 
 
 def test_file_facts_and_registry(spark, tmp_path):

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rowproof.operators import identity
 from rowproof.operators.identity import assign_ids, running_total
 from rowproof.operators.impute import fill_zero_from_group, zero_fill_audit
 from rowproof.operators.lookup import (
@@ -108,9 +107,7 @@ def test_impute_from_group(spark, rows):
     assert rows(audit) == [(1, 0, 30), (4, 0, 0), (6, 0, 0)]
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_ids_are_dense_and_ordered(spark, monkeypatch, limit):
-    monkeypatch.setattr(identity, "ONE_TASK_ROWS", limit)
+def test_ids_are_dense_and_ordered(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 37 % 5000).alias("k"))
     got = assign_ids(df.union(spark.sql("SELECT CAST(NULL AS BIGINT)")), "n", ["k"], start=10)
     ids = {r.k: r.n for r in got.collect()}
@@ -124,19 +121,15 @@ def test_ids_without_an_order(spark):
     assert "Exchange hash" not in got._jdf.queryExecution().executedPlan().toString().split("Broadcast")[0]
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_running_total(spark, monkeypatch, limit):
-    monkeypatch.setattr(identity, "ONE_TASK_ROWS", limit)
+def test_running_total(spark):
     df = spark.range(0, 1000, numPartitions=5).select("id", F.lit(2).alias("v"))
     got = running_total(df, "v", ["id"], "total")
     assert all(r.total == 2 * (r.id + 1) for r in got.collect())
 
 
-def test_ids_of_nothing(spark, monkeypatch):
+def test_ids_of_nothing(spark):
     df = spark.createDataFrame([], "k int")
     assert assign_ids(df, "n", ["k"]).count() == 0
-    monkeypatch.setattr(identity, "ONE_TASK_ROWS", -1)
-    assert assign_ids(df, "n", ["k"]).count() == 0
 
 
 def test_latest_batch(spark):
@@ -158,3 +151,14 @@ def test_counted_write(spark, tmp_path):
     df = spark.range(12)
     assert counted_write(df, lambda d: d.write.parquet(str(tmp_path / "a"))) == 12
     assert counted_write(df.filter("false"), lambda d: d.write.parquet(str(tmp_path / "b"))) == 0
+
+
+def test_keys_of_unlike_type_are_refused(spark):
+    dim = spark.createDataFrame([(1, 10)], "k bigint, v int")
+    with pytest.raises(TypeError):
+        lookup(spark.createDataFrame([("1",)], "k string"), dim, {"k": "k"}, {"v": "v"})
+
+
+def test_run_state_of_events_at_one_time_is_the_greatest_value(spark):
+    events = spark.createDataFrame([(1, 5, 3), (1, 5, 9), (1, 4, 99), (1, 6, None)], "r int, t int, v int")
+    assert run_state(events, "r", "t", {"v": "n"}).first().n == 9

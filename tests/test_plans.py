@@ -153,7 +153,7 @@ def test_star_load_is_complete_and_repeatable(spark, tmp_path, registrations):
     assert added == {
         "make_dim": 2, "model_dim": 1, "primary_use_dim": 1, "electric_utility_dim": 1,
         "state_dim": 2, "transaction_type_dim": 1, "fee_dim": 1, "city_dim": 2,
-        "location_dim": 3, "vehicle_dim": 4, "time_dim": 5844, "vehicle_transactions_facts": 6,
+        "location_dim": 3, "vehicle_dim": 4, "time_dim": 366, "vehicle_transactions_facts": 6,
     }
     before = tables(spark, store)
     again = warehouse.load_star(spark, store, staged, on_missing="drop")
@@ -255,3 +255,39 @@ def test_arriving_files(spark, tmp_path):
     ]
     codes = spark.read.parquet(f"{out}/column_errors").select(F.sum("error_code")).first()[0]
     assert codes == 2002
+
+
+def test_an_id_that_is_no_number_neither_stops_a_load_nor_loses_a_fact(spark, tmp_path, registrations):
+    store = ParquetStore(str(tmp_path))
+    bad = registrations.withColumn("DOL Vehicle ID", F.concat("DOL Vehicle ID", F.lit("X")))
+    added = warehouse.load_star(spark, store, staging.stage_star(spark, bad), on_missing="drop")
+    assert added["vehicle_dim"] == 0
+    assert added[warehouse.FACT_TABLE] == registrations.distinct().count()
+
+
+def test_a_repeated_dimension_key_does_not_multiply_facts(spark, tmp_path, registrations):
+    store = ParquetStore(str(tmp_path))
+    staged = staging.stage_star(spark, registrations)
+    warehouse.load_star(spark, store, staged, on_missing="drop")
+    twice = spark.createDataFrame([(901, "WA"), (902, "WA")], schemas.STATE_DIM)
+    store.append(twice, "state_dim")
+    dims = {d.table: warehouse.read_dim(spark, store, d) for d in (
+        warehouse.STATE, warehouse.CITY, warehouse.LOCATION, warehouse.TRANSACTION_TYPE,
+        warehouse.FEE, warehouse.VEHICLE)}
+    assert warehouse.fact_rows(staged["facts"], dims).count() == staged["facts"].count()
+
+
+def test_model_year_cap_is_an_argument(spark, registrations):
+    late = registrations.withColumn("Model Year", F.lit("2031"))
+    kept = clean_registrations(late, 1, as_of=datetime.date(2035, 1, 1), latest_model_year=2035).valid
+    assert {str(r["Model Year"]) for r in kept.select("Model Year").collect()} == {"2031"}
+
+
+def test_arriving_quotes_and_line_breaks(spark, tmp_path):
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    (inbox / "a.csv").write_text('id,city\n1,"a ""q"", b"\n2,"two\nlines"\n')
+    schema = schemas.schema_of("id int, city string")
+    validate_arrivals(spark, str(inbox), schema, required(["city"]), out, str(tmp_path / "chk")).awaitTermination(120)
+    got = {r.id: r.city for r in spark.read.parquet(f"{out}/valid").collect()}
+    assert got == {1: 'a "q", b', 2: "two\nlines"}

@@ -17,7 +17,7 @@ from rowproof.operators.ledger import (
 )
 from rowproof.operators.metrics import error_metrics, run_metrics
 from rowproof.operators.profile import null_profile
-from rowproof.operators.rules import not_in_future, not_null, one_of, required
+from rowproof.operators.rules import not_in_future, not_null, one_of, readable, required
 from rowproof.operators.validate import FINDINGS, validate
 
 AS_OF = datetime.date(2024, 1, 1)
@@ -86,6 +86,19 @@ def test_future_dates(spark):
     assert sorted(map(tuple, codes.collect())) == [(1, 1012), (2, 1012), (4, 1005), (5, 1005), (5, 1012)]
 
 
+def test_future_date_in_every_spelling_that_loads(spark):
+    texts = [("March 5 2099",), (" March 05 2099",), ("2099-03-05",), ("03/05/2099",), ("March 5, 2099",)]
+    df = spark.createDataFrame(texts, "t string")
+    assert validate(df, not_in_future(["t"], AS_OF)).valid.count() == 0
+
+
+def test_readable_numbers(spark):
+    df = spark.createDataFrame([("12", "1.5"), ("12X", "abc"), (None, None), (" 7 ", "-2")], "i string, d string")
+    checked = validate(df, [readable("i", "bigint"), readable("d", "decimal(9,2)")], "all")
+    found = checked.rejected.select("i", F.explode(FINDINGS).alias("f")).select("i", code_for(F.col("f.error_message")))
+    assert sorted(map(tuple, found.collect())) == [("12X", 1003), ("12X", 1006)]
+
+
 def test_future_date_needs_both_columns(spark):
     df = spark.createDataFrame([("January 02 2999",)], "t string")
     assert validate(df, not_in_future(["t", "s"])).valid.count() == 1
