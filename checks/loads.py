@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,10 @@ from rowproof.operators.identity import assign_ids
 from rowproof.operators.lookup import lookup
 from rowproof.operators.novelty import new_rows, reconcile, rows_only_in
 from rowproof.plans import staging, warehouse
+from rowproof.plans.cleaning import clean_registrations
 from rowproof.session import scratch_path, settle
 from rowproof.sources.calendar import days_between, with_calendar_parts
+from rowproof.sources.listing import align
 from rowproof.sources.tables import ParquetStore
 
 # Rows up to this day count as loaded earlier.
@@ -517,6 +521,54 @@ def load_star_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_days(staging.stage_fact(_registrations(spark, sf_dir)))
 
 
+@check(
+    "load_vehicle_quarantine",
+    """
+    SELECT DISTINCT CAST(`DOL Vehicle ID` AS BIGINT) AS dol_vehicle_id,
+           'electric_utility_id' AS missing_ids
+    FROM <registrations> AS g WHERE `Electric Utility` IS NULL
+    """,
+)
+def load_vehicle_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles without a utility are set aside, once, however often they arrive."""
+    store = _store(spark, "load-quarantine")
+    df = _registration_table(spark, sf_dir)
+    warehouse.load_dims(spark, store, _staged_singles(df, _VEHICLE_PARTS))
+    for _ in range(2):
+        warehouse.load_vehicle_dim(spark, store, staging.stage_vehicle(df), on_missing="quarantine")
+    schema = schemas.schema_of("dol_vehicle_id bigint, missing_ids string")
+    return distinct_rows(store.read(spark, f"{warehouse.VEHICLE.table}_quarantine", schema))
+
+
+_MANDATORY = ("County", "City", "State", "Postal Code", "Legislative District", "Model")
+
+
+@check(
+    "clean_then_load",
+    f"""
+    SELECT transaction_date, count(*) AS n_facts
+    FROM (
+        SELECT DISTINCT *, CAST(strptime(`Transaction Date`, '%B %d %Y') AS DATE) AS transaction_date
+        FROM <registrations_redelivered> AS g
+        WHERE {" AND ".join(f"`{c}` IS NOT NULL" for c in _MANDATORY)}
+    ) AS d
+    WHERE transaction_date <= DATE '{LOADED_UNTIL}'
+    GROUP BY 1
+    """,
+)
+def clean_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are cleaned, stored, and the star is loaded from what is stored, twice."""
+    store = _store(spark, "clean-then-load")
+    text = settle(shape(spark, sf_dir, "registrations_redelivered"), "delivered")
+    typed = align(text, text.columns, schemas.REGISTRATION_TYPES)
+    as_of = datetime.date.fromisoformat(LOADED_UNTIL)
+    store.append(clean_registrations(typed, 1, as_of).valid, warehouse.PROCESSED_TABLE)
+    warehouse.load_processed(spark, store)
+    warehouse.load_processed(spark, store)
+    facts = store.read(spark, warehouse.FACT_TABLE, schemas.FACTS)
+    return facts.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n_facts"))
+
+
 @check(
     "load_fact_drop",
     _FACT_SQL.format(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from rowproof.functions.columns import named
 from rowproof.functions.dates import KNOWN_FORMATS, parse_date_any
@@ -13,6 +14,7 @@ from rowproof.functions.flags import standardize_flag
 from rowproof.functions.numbers import to_int
 from rowproof.operators.copies import distinct_rows
 from rowproof.reference_data import FEE_COLUMNS
+from rowproof.schemas import REGISTRATION_TYPES
 from rowproof.sources.calendar import days_between, with_calendar_parts
 
 # Source column and result name of the dimensions that hold one column.
@@ -48,6 +50,16 @@ MEASURES = {
 }
 
 
+# The columns that staging reads, as cleaned registrations hold them.
+SOURCE_SCHEMA = StructType([
+    StructField(name, {"int": IntegerType(), "bigint": LongType()}.get(REGISTRATION_TYPES.get(name), StringType()))
+    for name in (
+        *VEHICLE_COLUMNS, *PLACE_COLUMNS, "Transaction Type", "Transaction Date", "Sale Date",
+        *MEASURES, *FEE_COLUMNS,
+    )
+])
+
+
 def distinct_dim(
     df: DataFrame, columns: Mapping[str, str], required: Sequence[str] = ()
 ) -> DataFrame:

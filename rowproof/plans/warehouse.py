@@ -18,11 +18,16 @@ from rowproof import schemas
 from rowproof.functions.columns import named
 from rowproof.operators.copies import distinct_rows, one_per_key
 from rowproof.operators.identity import assign_ids
-from rowproof.operators.lookup import lookup, resolve_references
+from rowproof.operators.lookup import (
+    MissingReferences,
+    lookup,
+    missing_counts,
+    resolve_references,
+)
 from rowproof.operators.metrics import counted_write
 from rowproof.operators.novelty import has_null, new_rows, new_rows_lossless
 from rowproof.reference_data import FEE_COLUMNS
-from rowproof.plans.staging import stage_star
+from rowproof.plans.staging import SOURCE_SCHEMA, stage_star
 from rowproof.session import prepare, scratch_scope, settle, settle_measured
 from rowproof.sources.csv import read_csv_text
 from rowproof.sources.listing import latest_file
@@ -73,6 +78,14 @@ TIME = Dimension("time_dim", None, ("full_date",), schemas.TIME_DIM)
 
 INDEPENDENT = (MAKE, MODEL, PRIMARY_USE, ELECTRIC_UTILITY, STATE, TRANSACTION_TYPE, FEE)
 
+# Columns of staged frames that name a member of another dimension.
+REFERRING = {
+    "city_dim": ("state",),
+    "location_dim": ("city", "state"),
+    "vehicle_dim": ("make", "model", "primary_use", "electric_utility"),
+}
+
+PROCESSED_TABLE = "processed_registrations"
 FACT_TABLE = "vehicle_transactions_facts"
 FACT_KEY = ("vehicle_id", "transaction_date")
 FACT_KEY_WITH_SALE = ("vehicle_id", "transaction_date", "sale_date")
@@ -169,18 +182,44 @@ def vehicle_rows(
     return df.drop("make", "model", "primary_use", "electric_utility")
 
 
+def with_references(
+    spark: SparkSession,
+    store: TableStore,
+    rows: DataFrame,
+    ids: Sequence[str],
+    on_missing: str,
+    table: str,
+) -> DataFrame:
+    """Rows whose ids were all found; what becomes of the others is ``on_missing``.
+
+    ``fail`` and ``drop`` are those of :func:`resolve_references`. ``quarantine`` appends them,
+    once each, to ``<table>_quarantine`` with the names of the ids they lack.
+    """
+    if on_missing != "quarantine":
+        return resolve_references(rows, ids, on_missing)
+    rows = settle(rows, "references")
+    names = [F.when(named(name).isNull(), F.lit(name)) for name in ids]
+    aside = rows.filter(has_null(ids)).withColumn("missing_ids", F.concat_ws(",", *names))
+    kept_aside = f"{table}_quarantine"
+    known = store.read(spark, kept_aside, aside.schema)
+    store.append(new_rows(distinct_rows(aside), known, aside.columns), kept_aside)
+    return rows.dropna(subset=list(ids))
+
+
 def load_city_dim(
     spark: SparkSession, store: TableStore, staged: DataFrame, on_missing: str = "fail"
 ) -> int:
     rows = city_rows(staged, read_dim(spark, store, STATE))
-    return load_dim(spark, store, CITY, resolve_references(rows, ["state_id"], on_missing))
+    found = with_references(spark, store, rows, ["state_id"], on_missing, CITY.table)
+    return load_dim(spark, store, CITY, found)
 
 
 def load_location_dim(
     spark: SparkSession, store: TableStore, staged: DataFrame, on_missing: str = "fail"
 ) -> int:
     rows = location_rows(staged, read_dim(spark, store, STATE), read_dim(spark, store, CITY))
-    found = resolve_references(rows, ["city_id", "state_id"], on_missing)
+    ids = ["city_id", "state_id"]
+    found = with_references(spark, store, rows, ids, on_missing, LOCATION.table)
     return load_dim(spark, store, LOCATION, found)
 
 
@@ -197,7 +236,8 @@ def load_vehicle_dim(
     ),
 ) -> int:
     dims = [read_dim(spark, store, d) for d in (MAKE, MODEL, PRIMARY_USE, ELECTRIC_UTILITY)]
-    found = resolve_references(vehicle_rows(staged, *dims), required_ids, on_missing)
+    rows = vehicle_rows(staged, *dims)
+    found = with_references(spark, store, rows, required_ids, on_missing, VEHICLE.table)
     return load_dim(spark, store, VEHICLE, found)
 
 
@@ -249,7 +289,7 @@ def load_fact(
     """Append transactions whose key is not in the fact table yet; returns how many.
 
     Rows of one batch are not compared with each other unless ``distinct_batch`` is set.
-    ``on_missing`` is None (keep rows with unknown ids), "drop" or "fail". Where a key part
+    ``on_missing`` is None (keep rows with unknown ids), "drop", "quarantine" or "fail". Where a key part
     is null, ``null_keys`` says what is compared: the "whole_row", the key with nulls taken
     as "equal", or nothing, which makes the row "new" every time.
     """
@@ -259,7 +299,7 @@ def load_fact(
     dims = {dim.table: read_dim(spark, store, dim) for dim in tables}
     rows = fact_rows(staged, dims)
     if on_missing:
-        rows = resolve_references(rows, required_ids, on_missing)
+        rows = with_references(spark, store, rows, required_ids, on_missing, table)
     types = {field.name: field.dataType for field in schema}
     rows = rows.select(*[named(c).try_cast(types[c]).alias(c) for c in schema.names])
     if distinct_batch:
@@ -309,6 +349,28 @@ def load_latest_file(
         return load_star(spark, store, stage_star(spark, rows), on_missing)
 
 
+def check_staged_references(staged: Mapping[str, DataFrame]) -> None:
+    """Raise :class:`MissingReferences` where a staged row refers to nothing."""
+    counts: dict[str, int] = {}
+    for table, columns in REFERRING.items():
+        found = missing_counts(staged[table], columns).first()
+        counts |= {f"{table}.{name}": found[name] for name in columns}
+    if any(counts.values()):
+        raise MissingReferences(counts)
+
+
+def load_processed(
+    spark: SparkSession, store: TableStore, on_missing: str = "quarantine"
+) -> dict[str, int]:
+    """Load every table from the cleaned registrations that processing stored.
+
+    Rows that validation rejected, and copies, are not among them.
+    """
+    with scratch_scope(spark):
+        rows = settle(store.read(spark, PROCESSED_TABLE, SOURCE_SCHEMA), "registrations")
+        return load_star(spark, store, stage_star(spark, rows), on_missing)
+
+
 def load_star(
     spark: SparkSession,
     store: TableStore,
@@ -317,9 +379,14 @@ def load_star(
 ) -> dict[str, int]:
     """Load every table in foreign-key order; returns the rows added to each.
 
-    A failing load raises, so facts never meet half-loaded dimensions. The staged frames
-    should come from a columnar table, of which each reads its own columns.
+    Every text that is staged becomes a member of its dimension, so the references that will
+    be missing are the empty ones. With ``fail`` they are counted before anything is written;
+    ``drop`` leaves such cities, locations and vehicles out, ``quarantine`` sets them aside.
+    Facts keep unknown ids as null. The staged frames should come from a columnar table, of
+    which each reads its own columns.
     """
+    if on_missing == "fail":
+        check_staged_references(staged)
     independent = (*INDEPENDENT, TIME)
     added = load_dims(spark, store, {dim: staged[dim.table] for dim in independent})
     added[CITY.table] = load_city_dim(spark, store, staged["city_dim"], on_missing)

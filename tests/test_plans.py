@@ -291,3 +291,21 @@ def test_arriving_quotes_and_line_breaks(spark, tmp_path):
     validate_arrivals(spark, str(inbox), schema, required(["city"]), out, str(tmp_path / "chk")).awaitTermination(120)
     got = {r.id: r.city for r in spark.read.parquet(f"{out}/valid").collect()}
     assert got == {1: 'a "q", b', 2: "two\nlines"}
+
+
+def test_a_failing_load_writes_nothing(spark, tmp_path, registrations):
+    store = ParquetStore(str(tmp_path / "store"))
+    with pytest.raises(MissingReferences):
+        warehouse.load_star(spark, store, staging.stage_star(
+            spark, registrations.withColumn("Electric Utility", F.lit(None).cast("string"))))
+    assert not (tmp_path / "store").exists()
+
+
+def test_rejected_rows_and_copies_do_not_reach_the_facts(spark, tmp_path, registry):
+    path = tmp_path / "EVTRA_2020.csv"
+    write_rows(path, registration_rows(), list(REGISTRATION))
+    store = ParquetStore(str(tmp_path / "store"))
+    process_file(spark, store, str(path), registry)
+    added = warehouse.load_processed(spark, store)
+    assert added[warehouse.FACT_TABLE] == run_report(spark, store).first().processed_count
+    assert set(warehouse.load_processed(spark, store).values()) == {0}
