@@ -114,7 +114,7 @@ BASE_RULES = (
 CASCADE_RULES = (
     Rule("symbols", lambda p: 10 * p.n_symbols > 3 * p.n_words),
     Rule("capitals", lambda p: 10 * p.capitals[0] > 6 * p.capitals[1]),
-    Rule("duplicate_lines", lambda p: 10 * p.n_dup_lines > 3 * p.n_lines),
+    Rule("duplicate_lines", lambda p: 2 * p.n_dup_lines > p.n_lines),
     Rule("word_length", lambda p: not 2 * p.n_words <= p.word_chars <= 25 * p.n_words),
 )
 

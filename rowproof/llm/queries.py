@@ -160,7 +160,7 @@ def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND 10 * n_symbols <= 3 * n_words AND 10 * n_upper <= 6 * n_letters
-           AND 10 * n_dup_lines <= 3 * n_lines
+           AND 2 * n_dup_lines <= n_lines
            AND word_chars BETWEEN 2 * n_words AND 25 * n_words AS kept
     FROM f
 """)

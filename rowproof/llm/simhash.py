@@ -267,4 +267,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(settle(gone, "removed"), "doc_id", "left_anti")
+    return docs.join(settle(gone, "removed"), "doc_id", "left_anti").select(docs.columns)
