@@ -27,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.llm.text import bound_batches, free_name, share
@@ -39,8 +39,11 @@ MARK = "▁"
 CHUNK_CHARS = 32_768
 
 #: Stretches and piece pairs that a worker remembers.
-CACHE_STRETCHES = 300_000
-CACHE_PAIRS = 1_000_000
+CACHE_STRETCHES = 150_000
+CACHE_PAIRS = 400_000
+
+#: Characters of texts that are split at once.
+SPLIT_CHARS = 4_000_000
 
 NEVER = -np.inf
 BYTES, NOTHING = -2, -3  # instead of a piece: a character's bytes; no path at all
@@ -183,11 +186,17 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of texts in marked form, each from one passing node to another."""
-        known, split = self.known, [_STRETCH.findall(t) for t in texts]
-        if len(known) > CACHE_STRETCHES:
-            known.clear()
-        self._learn([s for s in set().union(*split) if s not in known])
-        return [b"".join(map(known.__getitem__, stretches)) for stretches in split]
+        known, encoded, first, size = self.known, [], 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= SPLIT_CHARS or k + 1 == len(texts):
+                split = [_STRETCH.findall(t) for t in texts[first:k + 1]]
+                if len(known) > CACHE_STRETCHES:
+                    known.clear()
+                self._learn([s for s in set().union(*split) if s not in known])
+                encoded += [b"".join(map(known.__getitem__, stretches)) for stretches in split]
+                first, size = k + 1, 0
+        return encoded
 
 
 @lru_cache(64)
@@ -427,6 +436,20 @@ def _giant_ids(giants: DataFrame, shared) -> DataFrame:
     return whole.select("row", F.transform("parts", lambda p: p["ids"]).alias("parts")).mapInArrow(joined, "row bigint, ids binary")
 
 
+def _is_giant(docs: DataFrame) -> Column:
+    # Blanks become marks one for one, and one mark comes in front.
+    return F.coalesce(F.length(docs["text"]), F.lit(0)) + 1 > CHUNK_CHARS
+
+
+def _giants(docs: DataFrame, shared, name: str) -> DataFrame:
+    """The giant documents with their ids."""
+    row = free_name(docs, "_row")
+    giants = settle(docs.filter(_is_giant(docs)).withColumn(row, F.monotonically_increasing_id()), "giants")
+    found = _giant_ids(giants.select(F.col(row).alias("row"), "text"), shared)
+    found = found.select(F.col("row").alias(row), F.col("ids").alias(name))
+    return giants.join(found, row).select(*docs.columns, name)
+
+
 def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
     """``docs`` with a column ``name``: the ids of each whole text, without special ids, packed
     as little-endian unsigned 32-bit integers.
@@ -435,17 +458,9 @@ def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
     equal ids; an empty table gives an empty result. All columns pass through; ``name`` must not
     be among them.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    shared = share(spark, Pieces.load(model_file))
-    # Blanks become marks one for one, and one mark comes in front.
-    long_text = F.coalesce(F.length("text"), F.lit(0)) + 1 > CHUNK_CHARS
-    row = free_name(docs, "_row")
-    giants = settle(docs.filter(long_text).withColumn(row, F.monotonically_increasing_id()), "giants")
-    small = _small_ids(docs.filter(~long_text), shared, name)
-    found = _giant_ids(giants.select(F.col(row).alias("row"), "text"), shared)
-    found = found.select(F.col("row").alias(row), F.col("ids").alias(name))
-    return small.union(giants.join(found, row).select(*docs.columns, name))
+    bound_batches(docs.sparkSession)
+    shared = share(docs.sparkSession, Pieces.load(model_file))
+    return _small_ids(docs.filter(~_is_giant(docs)), shared, name).union(_giants(docs, shared, name))
 
 
 def decoded(df: DataFrame, model_file: str, ids: str, name: str) -> DataFrame:
@@ -470,23 +485,30 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
     ``round_trip`` compares with the text, a null one as empty and a mark in it as a blank, as
     the model reads it.
     """
-    encoded = encode(docs.select("doc_id", "text"), model_file)
+    bound_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
     key = docs.schema["doc_id"].dataType.simpleString()
     shared = share(docs.sparkSession, Pieces.load(model_file))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared()
+    def report(batch: pa.RecordBatch, texts: list[str], ids: list[bytes]) -> pa.RecordBatch:
+        same = [decode(shared(), v) == t.replace(MARK, " ") for v, t in zip(ids, texts, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(v) // 4 for v in ids], pa.int64()),
+             pa.array(map(zlib.crc32, ids), pa.int64()), pa.array(same, pa.bool_())],
+            ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
+        )
+
+    # Documents of one chunk are encoded and summed up in one pass: their ids go nowhere else.
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("ids").to_pylist()
-            sums = [zlib.crc32(v) for v in lists]
-            same = [
-                decode(pieces, v) == (t or "").replace(MARK, " ")
-                for v, t in zip(lists, batch.column("text").to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(v) // 4 for v in lists], pa.int64()),
-                 pa.array(sums, pa.int64()), pa.array(same)],
-                ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
-            )
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            yield report(batch, texts, shared().encode([marked(t) for t in texts]))
+
+    def giant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            yield report(batch, texts, batch.column("ids").to_pylist())
 
-    return encoded.mapInArrow(run, f"doc_id {key}, n_tokens bigint, ids_crc32 bigint, round_trip boolean")
+    schema = f"doc_id {key}, n_tokens bigint, ids_crc32 bigint, round_trip boolean"
+    giants = _giants(docs, shared, "ids").mapInArrow(giant, schema)
+    return docs.filter(~_is_giant(docs)).mapInArrow(small, schema).union(giants)
