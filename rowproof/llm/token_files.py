@@ -36,7 +36,10 @@ SHARD_BYTES = 8 * 1024 * 1024
 PART_KEYS = 4096
 
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 700_000
+
+#: Bytes of texts that are split at once.
+SPLIT_BYTES = 4_000_000
 
 
 @dataclass
@@ -83,14 +86,20 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Payload of each text, without an end."""
         self._ready()
-        split = [t.split() for t in texts]
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
-        missing = {w for w in set().union(*split) if w not in self.memory}
-        if missing:
-            self._learn(missing)
-        get = self.memory.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        encoded, first, size = [], 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= SPLIT_BYTES or k + 1 == len(texts):
+                split = [t.split() for t in texts[first:k + 1]]
+                if len(self.memory) > CACHE_WORDS:
+                    self.memory.clear()
+                missing = {w for w in set().union(*split) if w not in self.memory}
+                if missing:
+                    self._learn(missing)
+                get = self.memory.__getitem__
+                encoded += [b"".join(map(get, words)) for words in split]
+                first, size = k + 1, 0
+        return encoded
 
 
 def load_encoder(tokenizer_file: str) -> WordEncoder:
