@@ -31,7 +31,7 @@ from rowproof.plans.staging import SOURCE_SCHEMA, stage_star
 from rowproof.session import prepare, scratch_scope, settle, settle_measured
 from rowproof.sources.csv import read_csv_text
 from rowproof.sources.listing import latest_file
-from rowproof.sources.tables import TableStore
+from rowproof.sources.tables import Slices, TableStore
 
 
 @dataclass(frozen=True, eq=False)
@@ -87,6 +87,7 @@ REFERRING = {
 
 PROCESSED_TABLE = "processed_registrations"
 FACT_TABLE = "vehicle_transactions_facts"
+FACT_MONTH = "transaction_month"
 FACT_KEY = ("vehicle_id", "transaction_date")
 FACT_KEY_WITH_SALE = ("vehicle_id", "transaction_date", "sale_date")
 
@@ -304,17 +305,29 @@ def load_fact(
     rows = rows.select(*[named(c).try_cast(types[c]).alias(c) for c in schema.names])
     if distinct_batch:
         rows = distinct_rows(rows)
-    unkeyed = 0
-    if null_keys == "whole_row":
-        # Written once, because two comparisons may read it.
-        rows, measured = settle_measured(rows, "facts", unkeyed=F.count_if(has_null(key)))
-        unkeyed = measured["unkeyed"]
-    if unkeyed:
-        fresh = new_rows_lossless(rows, store.read(spark, table, schema), key)
+    # Written once, because several steps read it.
+    rows, measured = settle_measured(rows, "facts", unkeyed=F.count_if(has_null(key)))
+    slices = by_month(rows) if "transaction_date" in key else None
+    if null_keys == "whole_row" and measured["unkeyed"]:
+        fresh = new_rows_lossless(rows, store.read(spark, table, schema, slices=slices), key)
     else:
-        existing = store.read(spark, table, schema, columns=list(key))
+        existing = store.read(spark, table, schema, columns=list(key), slices=slices)
         fresh = new_rows(rows, existing, key, null_safe=null_keys == "equal")
-    return counted_write(fresh, lambda df: store.append(df, table))
+    if slices:
+        fresh = slices.arranged(fresh)
+    return counted_write(fresh, lambda df: store.append(df, table, slices))
+
+
+def by_month(rows: DataFrame) -> Slices:
+    """Facts lie in one slice per month, those without a date in one of their own.
+
+    Rows that are equal in key are of one month, so a batch meets the months it holds and not
+    the whole table. There are few months, whatever the number of rows.
+    """
+    day = F.col("transaction_date")
+    month = F.year(day) * 100 + F.month(day)
+    held = rows.select(month.alias("m")).distinct().toLocalIterator()
+    return Slices(FACT_MONTH, month, [row.m for row in held])
 
 
 def load_fact_by_type_name(spark: SparkSession, store: TableStore, staged: DataFrame) -> int:

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rowproof.functions.columns import named_all
 from rowproof.session import path_exists, settle
 
 # SQL states of "no such table" in common databases.
@@ -23,10 +24,36 @@ class TableStore(Protocol):
 
     def read(
         self, spark: SparkSession, table: str, schema: StructType,
-        columns: Sequence[str] | None = None,
+        columns: Sequence[str] | None = None, slices: Slices | None = None,
     ) -> DataFrame: ...
 
-    def append(self, df: DataFrame, table: str) -> None: ...
+    def append(self, df: DataFrame, table: str, slices: Slices | None = None) -> None: ...
+
+
+@dataclass(frozen=True)
+class Slices:
+    """How a table is divided: ``value`` is the slice of a row, ``wanted`` the slices to read.
+
+    A store that keeps slices apart reads the wanted ones only; any other ignores this, so the
+    reader must not depend on rows being left out.
+    """
+
+    name: str
+    value: Column
+    wanted: Sequence[object] = ()
+
+    def arranged(self, df: DataFrame) -> DataFrame:
+        """``df`` with its slices, the rows of one brought together in few tasks.
+
+        The rebalance hint lets adaptive execution split a slice that is too big for one.
+        """
+        return df.withColumn(self.name, self.value).hint("rebalance", self.name)
+
+    @property
+    def condition(self) -> Column:
+        known = [value for value in self.wanted if value is not None]
+        chosen = F.col(self.name).isin(known)
+        return chosen | F.col(self.name).isNull() if None in self.wanted else chosen
 
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -35,13 +62,13 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*nothing).filter(F.lit(False))
 
 
-def _only(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    return df.select(*columns) if columns else df
+def _only(df: DataFrame, schema: StructType, columns: Sequence[str] | None) -> DataFrame:
+    return df.select(*named_all(columns or schema.names))
 
 
 @dataclass(frozen=True)
 class ParquetStore:
-    """One Parquet folder per table below ``root``."""
+    """One Parquet folder per table below ``root``, with a sub-folder per slice if asked for."""
 
     root: str
     assigns_ids: bool = field(default=False, init=False)
@@ -51,15 +78,21 @@ class ParquetStore:
 
     def read(
         self, spark: SparkSession, table: str, schema: StructType,
-        columns: Sequence[str] | None = None,
+        columns: Sequence[str] | None = None, slices: Slices | None = None,
     ) -> DataFrame:
         path = self.path(table)
-        if path_exists(spark, path):
-            return _only(spark.read.schema(schema).parquet(path), columns)
-        return _only(empty_table(spark, schema), columns)
+        if not path_exists(spark, path):
+            return _only(empty_table(spark, schema), schema, columns)
+        df = spark.read.schema(schema).parquet(path)
+        if slices and slices.name in df.columns:
+            df = df.filter(slices.condition)
+        return _only(df, schema, columns)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
+    def append(self, df: DataFrame, table: str, slices: Slices | None = None) -> None:
+        if slices and slices.name not in df.columns:
+            df = slices.arranged(df)
+        writer = df.write.mode("append")
+        (writer.partitionBy(slices.name) if slices else writer).parquet(self.path(table))
 
 
 @dataclass(frozen=True)
@@ -84,7 +117,7 @@ class JdbcStore:
 
     def read(
         self, spark: SparkSession, table: str, schema: StructType,
-        columns: Sequence[str] | None = None,
+        columns: Sequence[str] | None = None, slices: Slices | None = None,
     ) -> DataFrame:
         parallel = dict(self.partitioning.get(table, {}))
         try:
@@ -94,10 +127,11 @@ class JdbcStore:
         except Exception as error:
             if not is_missing_table(error):
                 raise
-            return _only(empty_table(spark, schema), columns)
-        return settle(_only(df, columns), "table")
+            return _only(empty_table(spark, schema), schema, columns)
+        return settle(_only(df, schema, columns), "table")
 
-    def append(self, df: DataFrame, table: str) -> None:
+    def append(self, df: DataFrame, table: str, slices: Slices | None = None) -> None:
+        df = df.drop(slices.name) if slices else df
         df.write.jdbc(
             self.url, self.name(table), mode="append", properties=dict(self.properties)
         )

@@ -1,4 +1,5 @@
 import datetime
+import re
 from decimal import Decimal
 
 import pytest
@@ -309,3 +310,18 @@ def test_rejected_rows_and_copies_do_not_reach_the_facts(spark, tmp_path, regist
     added = warehouse.load_processed(spark, store)
     assert added[warehouse.FACT_TABLE] == run_report(spark, store).first().processed_count
     assert set(warehouse.load_processed(spark, store).values()) == {0}
+
+
+def test_a_batch_reads_only_its_months_of_the_facts(spark, tmp_path, registrations):
+    store = ParquetStore(str(tmp_path))
+    facts = staging.stage_fact(registrations)
+    other = facts.withColumn("transaction_date", F.lit(datetime.date(1999, 5, 1)))
+    warehouse.load_fact(spark, store, facts.union(other))
+    batch = other.select("transaction_date").union(spark.sql("SELECT CAST(NULL AS DATE)"))
+    slices = warehouse.by_month(batch)
+    assert sorted(slices.wanted, key=str) == [199905, None]
+    old = store.read(spark, warehouse.FACT_TABLE, schemas.FACTS, list(warehouse.FACT_KEY), slices)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*transaction_month", plan)
+    assert {r.transaction_date for r in old.collect()} == {datetime.date(1999, 5, 1)}
+    assert store.read(spark, warehouse.FACT_TABLE, schemas.FACTS).columns == schemas.FACTS.names
