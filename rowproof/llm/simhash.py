@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.llm.components import components
-from rowproof.llm.text import LOWER, UPPER, bound_batches, utf8
+from rowproof.llm.text import LOWER, UPPER, bound_batches, free_name, utf8
 from rowproof.session import settle, settle_measured
 
 SEED = 42
@@ -58,20 +58,21 @@ def fingerprint(text: bytes) -> int:
     return sum(1 << bit for bit in np.flatnonzero(2 * set_bits > n).tolist())
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, the carried columns, fp): the fingerprint as a signed 64-bit number."""
     bound_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    key = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", *carried]
+    docs = docs.select(*names, "text")
+    schema = docs.select(*names, F.lit(None).cast("long").alias("fp")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t) for t in utf8(batch.column("text"))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"]
+                [*(batch.column(c) for c in names), pa.array(values.view(np.int64))], [*names, "fp"]
             )
 
-    return docs.mapInArrow(run, f"doc_id {key}, fp bigint")
+    return docs.mapInArrow(run, schema)
 
 
 def parts_for(n: int) -> int:
@@ -233,15 +234,15 @@ def near_links(distinct: DataFrame, n: int) -> DataFrame:
     return met.mapInArrow(_compare_tiles, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+def near_duplicates(docs: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, the carried columns, fp, component_id) for every row of ``docs``.
 
     Equal texts and texts without words (null, empty, blank: fingerprint zero) share a
     fingerprint and so a component. ``component_id`` is the smallest non-null doc_id
     reachable, null if there is none. Repeated rows each keep their row; an empty table gives
-    an empty result; columns other than ``doc_id`` and ``text`` are not read.
+    an empty result; columns other than ``doc_id``, ``text`` and the carried ones are not read.
     """
-    marked = settle(fingerprints(docs), "fingerprints")
+    marked = settle(fingerprints(docs, *carried), "fingerprints")
     smallest = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     distinct, seen = settle_measured(smallest, "distinct")
     bound_batches(docs.sparkSession)
@@ -252,7 +253,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = settle(rooted.join(roots, "root").select("fp", "component_id"), "classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(classes, "fp").select("doc_id", *carried, "fp", "component_id")
 
 
 def as_hex(fp: Column) -> Column:
@@ -262,9 +263,21 @@ def as_hex(fp: Column) -> Column:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents whose component holds a smaller doc_id.
 
-    A row without doc_id has no name to be removed by and stays; rows that share one doc_id
-    are one document and stay or go together.
+    A document is a doc_id and a text: texts that share one doc_id are judged each in its own
+    component, so that every component keeps the documents of its smallest doc_id. A row without
+    doc_id has no name to be removed by and stays; exact repeats of a row stay or go together.
     """
-    found = near_duplicates(docs)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(settle(gone, "removed"), "doc_id", "left_anti").select(docs.columns)
+    digest, stays = free_name(docs, "_text"), F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    marked = docs.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    found = settle(near_duplicates(marked, digest).select("doc_id", digest, stays.alias("stays")), "judged")
+    ids = found.groupBy("doc_id").agg(F.bool_or("stays").alias("some"), F.bool_and("stays").alias("all"))
+    ids = settle(ids.filter("NOT all"), "affected")
+    # Most go by their id alone; texts are told apart only where some rows of an id stay.
+    whole = settle(ids.filter("NOT some").select("doc_id"), "removed")
+    mixed = found.filter("NOT stays").join(ids.filter("some").select("doc_id"), "doc_id", "left_semi")
+    single = settle(mixed.select("doc_id", digest).distinct(), "removed-texts")
+    kept = docs.join(whole, "doc_id", "left_anti")
+    if single.isEmpty():
+        return kept.select(docs.columns)
+    kept = kept.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    return kept.join(single, ["doc_id", digest], "left_anti").select(docs.columns)

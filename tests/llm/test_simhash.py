@@ -90,6 +90,14 @@ def test_one_of_each_keeps_the_smallest_and_the_nameless(spark):
     assert ids == sorted([None, None, 1, 4, 5, 6, 6, 8, 9, 10, 11], key=str)
 
 
+def test_one_of_each_keeps_a_document_of_every_class(spark):
+    a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, c), (5, None), (8, ""), (9, c)]
+    kept = simhash.one_of_each(documents(spark, rows))
+    # 5 is the smallest of b and of the texts without words, 7 of c, although both repeat a smaller one.
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, a), (5, b), (5, None), (7, c)], key=str)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []
     assert simhash.one_of_each(documents(spark, [])).collect() == []
