@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and checksum of each document's ids, and whether they decode to its text."""
+    """Each document's ids, their number and checksum, and whether they decode to its text."""
     return encoding_report(docs, PIECE_MODEL)
 
 

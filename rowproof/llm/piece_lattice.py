@@ -479,9 +479,10 @@ def decoded(df: DataFrame, model_file: str, ids: str, name: str) -> DataFrame:
 
 
 def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
-    """One row per document: how many ids, their checksum, and whether they decode to the text.
+    """One row per document: its ids, how many, their checksum, and whether they decode to the text.
 
-    ``ids_crc32`` is the unsigned crc32 of the ids as little-endian unsigned 32-bit integers.
+    ``ids`` are packed as :func:`encode` packs them: little-endian unsigned 32-bit integers.
+    ``ids_crc32`` is the unsigned crc32 of these bytes.
     ``round_trip`` compares with the text, a null one as empty and a mark in it as a blank, as
     the model reads it.
     """
@@ -494,11 +495,11 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
         same = [decode(shared(), v) == t.replace(MARK, " ") for v, t in zip(ids, texts, strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(v) // 4 for v in ids], pa.int64()),
-             pa.array(map(zlib.crc32, ids), pa.int64()), pa.array(same, pa.bool_())],
-            ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
+             pa.array(map(zlib.crc32, ids), pa.int64()), pa.array(same, pa.bool_()), pa.array(ids, pa.binary())],
+            ["doc_id", "n_tokens", "ids_crc32", "round_trip", "ids"],
         )
 
-    # Documents of one chunk are encoded and summed up in one pass: their ids go nowhere else.
+    # Documents of one chunk are encoded, decoded and summed up in one pass.
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -509,6 +510,6 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield report(batch, texts, batch.column("ids").to_pylist())
 
-    schema = f"doc_id {key}, n_tokens bigint, ids_crc32 bigint, round_trip boolean"
+    schema = f"doc_id {key}, n_tokens bigint, ids_crc32 bigint, round_trip boolean, ids binary"
     giants = _giants(docs, shared, "ids").mapInArrow(giant, schema)
     return docs.filter(~_is_giant(docs)).mapInArrow(small, schema).union(giants)

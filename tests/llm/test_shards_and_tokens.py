@@ -77,6 +77,15 @@ def test_pieces_equal_the_library(spark, monkeypatch):
     )
 
 
+def test_report_carries_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "CHUNK_CHARS", 300)
+    rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "é漢字 😀"), (4, prose(8, 400))]
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    want = Counter((i, np.array(model.encode(t or ""), "<u4").tobytes()) for i, t in rows)
+    report = lattice.encoding_report(documents(spark, rows), PIECES).collect()
+    assert Counter((r.doc_id, bytes(r.ids)) for r in report) == want
+
+
 def test_scan_is_associative():
     random_ = np.random.default_rng(2)
     m = [np.where(random_.random((4, 4)) < 0.5, random_.random((4, 4)), -np.inf) for _ in range(9)]
