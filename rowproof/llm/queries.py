@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowproof.llm import (
+    chat_format,
     decontaminate,
     language,
     piece_lattice,
@@ -18,14 +19,16 @@ from rowproof.llm import (
     simhash,
     token_files,
     toxicity,
+    turn_repair,
     url_filter,
 )
-from rowproof.session import prepare, scratch_path
+from rowproof.session import prepare, scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -218,3 +221,36 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     for domain in LISTED_DOMAINS:
         on_list |= F.concat(F.lit("."), host).endswith("." + domain)
     return url_filter.judge_urls(pages, pages.filter(on_list).select("url"))
+
+
+# A conversation whose texts hold control strings of common templates, and the escape itself.
+_ESCAPED_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query("op12_chat_format", r"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(23 + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+                       + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
+    FROM c GROUP BY conv_id
+""")
+def _chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = [(-7, 0, "user", _ESCAPED_TEXT), (-7, 1, "assistant", _ESCAPED_TEXT)]
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = chats.union(spark.createDataFrame(added, chats.schema))
+    template = chat_format.ChatTemplate.load(BYTE_RANKS, public_tokenizers.PATTERN)
+    written = settle(chat_format.format_chats(chats, template), "chats")
+    return chat_format.chat_report(written, template)
+
+
+@query("op13_turn_repair")
+def _turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = turn_repair.damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.repair_report(settle(turn_repair.repair_chunks(turn_repair.with_faults(damaged)), "repaired"))
