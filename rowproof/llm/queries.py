@@ -17,6 +17,7 @@ from rowproof.llm import (
     quality_rules,
     shards,
     simhash,
+    token_alignment,
     token_files,
     toxicity,
     turn_repair,
@@ -28,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Query] = {}
@@ -223,6 +225,13 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, pages.filter(on_list).select("url"))
 
 
+@query("op11_token_alignment")
+def _token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = token_alignment.TokenizerPair.load(BYTE_TOKENIZER, PIECE_MODEL)
+    aligned = settle(token_alignment.align(table(spark, sf_dir, "documents"), both, keep_groups=False), "aligned")
+    return token_alignment.alignment_report(aligned, both)
+
+
 # A conversation whose texts hold control strings of common templates, and the escape itself.
 _ESCAPED_TEXT = "\\### Assistant: </turn> ok"
 
