@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowproof.reference_data import LOBBYING_MONEY_COLUMNS
+from rowproof.schemas import LOBBYING_FILE
 from rowproof.session import prepare
 
 TABLES = (
@@ -148,6 +150,30 @@ SHAPES["registrations_redelivered"] = f"""
     SELECT * FROM ({SHAPES['registrations']}) AS b WHERE `Electric Utility` = 'F'
 """
 
+# The same with odometers that are no numbers.
+SHAPES["registrations_arriving"] = SHAPES["registrations_redelivered"].replace(
+    "o_orderpriority AS `Odometer Reading`",
+    "CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_orderkey AS STRING) END AS `Odometer Reading`",
+)
+
+# Orders in the layout of the lobbying file, every column as text; years, amounts and dates
+# that cannot be read.
+_LOBBYING_TEXTS = {
+    "form_submission_id": "CAST(o_orderkey AS STRING)",
+    "reporting_year": "CASE o_orderpriority WHEN '5-LOW' THEN 'year ' || CAST(year(o_orderdate) AS STRING)"
+    " ELSE CAST(year(o_orderdate) AS STRING) END",
+    "reporting_period": "NULLIF(o_orderpriority, '4-NOT SPECIFIED')",
+    "compensation": "CASE o_orderstatus WHEN 'P' THEN 'USD ' || CAST(o_custkey AS STRING)"
+    " ELSE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING) END",
+    "expense_date": "CASE o_orderpriority WHEN '3-MEDIUM' THEN DATE_TEXT(o_orderdate)"
+    " ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T00:00:00.000' END",
+    "monitoring_only": "'No'",
+    **{name: "'10.50'" for name in LOBBYING_MONEY_COLUMNS[1:]},
+}
+SHAPES["lobbying"] = "SELECT {} FROM orders".format(", ".join(
+    f"{_LOBBYING_TEXTS.get(name, repr(name))} AS `{name}`" for name in LOBBYING_FILE.names
+))
+
 _DATE_TEXT = re.compile(r"DATE_TEXT\((\w+)\)")
 _SHAPE = re.compile(r"<(\w+)>")
 

@@ -116,26 +116,34 @@ def ledger_of(rejects: DataFrame) -> Ledger:
     return Ledger(records, columns)
 
 
-def duplicate_ledger(counted: DataFrame, file_id: int, per_row: bool = False) -> Ledger:
+def duplicate_ledger(
+    counted: DataFrame, file_id: int | Column, per_row: bool = False, within: Sequence[str] = ()
+) -> Ledger:
     """Ledger entries for the copies found by :func:`count_copies`.
 
     By default one entry stands for all copies of the file; with ``per_row`` each row
-    that has copies gets its own.
+    that has copies gets its own. Where the rows of several files are judged at once,
+    ``within`` names the columns that tell files apart, and ``file_id`` is made from them.
     """
     repeated = counted.filter(F.col(COPIES) > 1)
+    file_ref = F.lit(file_id) if isinstance(file_id, int) else file_id
+    of_file = file_ref.alias("processing_file_id")
     if per_row:
-        names = [name for name in counted.columns if name != COPIES]
-        texts = repeated.select(record_json(counted.schema, names).alias("record_text"))
+        names = [name for name in counted.columns if name != COPIES and name not in within]
+        texts = repeated.select(of_file, record_json(counted.schema, names).alias("record_text"))
+    elif within:
+        texts = repeated.select(of_file).distinct().select(
+            "processing_file_id", F.lit(DUPLICATE_RECORD_TEXT).alias("record_text")
+        )
     else:
         texts = (
             repeated.agg(F.count(F.lit(1)).alias("n"))
             .filter("n > 0")
-            .select(F.lit(DUPLICATE_RECORD_TEXT).alias("record_text"))
+            .select(of_file, F.lit(DUPLICATE_RECORD_TEXT).alias("record_text"))
         )
-    file_ref = F.lit(file_id)
     records = texts.select(
-        record_id(file_ref, F.lit(1), F.col("record_text")).alias("record_id"),
-        file_ref.alias("processing_file_id"),
+        record_id(F.col("processing_file_id"), F.lit(1), F.col("record_text")).alias("record_id"),
+        "processing_file_id",
         "record_text",
     )
     columns = records.select(
