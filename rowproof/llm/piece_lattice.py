@@ -22,7 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,12 +38,13 @@ MARK = "▁"
 #: Characters of a chunk; a longer document is cut into chunks that are encoded in parallel.
 CHUNK_CHARS = 32_768
 
-#: Stretches and piece pairs that a worker remembers.
-CACHE_STRETCHES = 150_000
+#: Words in each of two generations, and piece pairs, that a worker remembers.
+CACHE_WORDS = 90_000
 CACHE_PAIRS = 400_000
 
-#: Characters of texts that are split at once.
+#: Characters of texts that are split at once, and documents that are decoded at once.
 SPLIT_CHARS = 4_000_000
+DECODE_ROWS = 128
 
 NEVER = -np.inf
 BYTES, NOTHING = -2, -3  # instead of a piece: a character's bytes; no path at all
@@ -64,9 +65,11 @@ class Pieces:
     byte_ids: list[int]
     longest: int
     ending: dict[str, int]  # the longest piece that ends in two given characters
+    tails: dict[str, tuple[int, ...]]  # lengths of the longer pieces that end in four given ones
     strings: list[str]
     pairs: dict[int, bool] = field(default_factory=dict)
     known: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     @staticmethod
     def load(model_file: str) -> Pieces:
@@ -88,10 +91,26 @@ class Pieces:
                 texts.append(piece.replace(MARK, " ").encode())
         if any(MARK in p.lstrip(MARK) or (p[:1] == MARK and p[1:2] == MARK and p.strip(MARK)) for p in ids):
             raise ValueError("a piece holds a blank mark behind another character")
+        if not all(byte_ids) or model.encode(" \u00a0A\ufb01") != [k for p in ("▁▁", "\u00a0", "A", "\ufb01") for k in _plain(ids, byte_ids, p)]:
+            raise ValueError("not a byte-pair model with byte fallback that leaves texts as they are")
         ending: dict[str, int] = {}
+        tails: dict[str, set[int]] = {}
         for piece in ids:
             ending[piece[-2:]] = max(ending.get(piece[-2:], 1), len(piece))
-        return Pieces(ids, rank, texts, byte_ids, max(map(len, ids)), ending, strings)
+            if len(piece) >= TAIL:
+                tails.setdefault(piece[-TAIL:], set()).add(len(piece))
+        lengths = {tail: (*sorted(found, reverse=True), *_SHORT) for tail, found in tails.items()}
+        return Pieces(ids, rank, texts, byte_ids, max(map(len, ids)), ending, lengths, strings)
+
+    @cached_property
+    def packed_ids(self) -> list[bytes]:
+        return [packed([k]) for k in range(len(self.strings))]
+
+    @cached_property
+    def gather(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all pieces in a row, and where each begins and how long it is."""
+        lengths = np.array([len(t) for t in self.texts], np.int64)
+        return np.frombuffer(b"".join(self.texts), np.uint8), np.cumsum(lengths) - lengths, lengths
 
     def _merged(self, text: str) -> list[str]:
         """Byte-pair merging as defined: the best pair first, of equal ones the leftmost."""
@@ -132,28 +151,29 @@ class Pieces:
         if k is None:
             yield end - 1, BYTES
 
-    def _learn(self, stretches: list[str]) -> None:
-        """Viterbi over new stretches: at each node one piece at most is reached by weight 0.
+    def _learn(self, words: dict[str, list[str]]) -> None:
+        """Viterbi over the stretches of new words: at each node one piece is reached by weight 0.
 
         What reaches a node depends on the text before it alone. In sorted order, a stretch
         goes on from the nodes it shares with the one before.
         """
-        get, pairs, follows, ending = self.ids.get, self.pairs, self.follows, self.ending
-        last, came, previous = [-1], [0], ""
-        for text in sorted(stretches):
+        get, pairs, follows, tails = self.ids.get, self.pairs, self.follows, self.tails
+        wide = self.packed_ids
+        last, so_far, previous, found = [-1], [b""], "", {}
+        for text in sorted({s for stretches in words.values() for s in stretches}):
             shared = 0
             for a, b in zip(text, previous):  # noqa: B905  the shorter one ends it
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1:], came[shared + 1:]
+            del last[shared + 1:], so_far[shared + 1:]
             for end in range(shared + 1, len(text) + 1):
-                # The edges of this node, written out for speed.
-                start = end - ending.get(text[end - 2:end] if end > 1 else text[0], 1)
-                if start < 0:
-                    start = 0
-                reached_by, k = NOTHING, None
-                while start < end:
+                # The edges of this node, written out for speed: only lengths that occur are tried.
+                reached_by, start = NOTHING, 0
+                for length in tails.get(text[end - TAIL:end], _SHORT) if end >= TAIL else _SHORT:
+                    start = end - length
+                    if start < 0:
+                        continue
                     k = get(text[start:end])
                     if k is not None:
                         before = last[start]
@@ -163,38 +183,57 @@ class Pieces:
                         if fits:
                             reached_by = k
                             break
-                    start += 1
-                if reached_by == NOTHING and k is None:
-                    start, reached_by = end - 1, BYTES
-                last.append(reached_by)
-                came.append(start)
-            path, at = [], len(text)
-            while at:
-                k = last[at]
-                if k == BYTES:
-                    path += self._bytes_of(text[came[at]:at])
+                # Each node has one way to it, so its ids are those of the node before and one more.
+                if reached_by == NOTHING:
+                    last.append(BYTES)
+                    so_far.append(so_far[end - 1] + packed(self._bytes_of(text[end - 1])[::-1]))
                 else:
-                    path.append(k)
-                at = came[at]
-            path.reverse()
-            self.known[text] = packed(path)
+                    last.append(reached_by)
+                    so_far.append(so_far[start] + wide[reached_by])
+            found[text] = so_far[-1]
             previous = text
+        for word, stretches in words.items():
+            self.known[word] = b"".join([found[s] for s in stretches])
 
     def _bytes_of(self, text: str) -> list[int]:
         """Ids of a character's bytes, the last first."""
         return [self.byte_ids[b] for b in reversed(text.encode("utf-8", "replace"))]
 
+    def _remember(self, words: set[str]) -> None:
+        """Make all ``words`` known: from memory, where possible from its older generation.
+
+        When the younger generation is full it becomes the older one, so that what is asked for
+        again and again stays.
+        """
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, {}
+        for word in words:
+            if word not in known:
+                ids = older.get(word)
+                if ids is None:
+                    new[word] = _stretches(word)
+                else:
+                    known[word] = ids
+        if new:
+            self._learn(new)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of texts in marked form, each from one passing node to another."""
-        known, encoded, first, size = self.known, [], 0, 0
-        for k, text in enumerate(texts):
-            size += len(text)
-            if size >= SPLIT_CHARS or k + 1 == len(texts):
-                split = [_STRETCH.findall(t) for t in texts[first:k + 1]]
-                if len(known) > CACHE_STRETCHES:
-                    known.clear()
-                self._learn([s for s in set().union(*split) if s not in known])
-                encoded += [b"".join(map(known.__getitem__, stretches)) for stretches in split]
+        """Packed ids of whole texts, each from its first node to its last."""
+        return self._encode([_words(t) for t in texts], [len(t) for t in texts])
+
+    def encode_marked(self, text: str) -> bytes:
+        """Packed ids of a text in marked form, from one passing node to another."""
+        return self._encode([[MARK_FORM + s for s in _STRETCH.findall(text)]], [len(text)])[0]
+
+    def _encode(self, split: list[list[str]], sizes: list[int]) -> list[bytes]:
+        encoded, first, size = [], 0, 0
+        for k, n in enumerate(sizes):
+            size += n
+            if size >= SPLIT_CHARS or k + 1 == len(sizes):
+                self._remember(set().union(*split[first:k + 1]))
+                get = self.known.__getitem__
+                encoded += [b"".join(map(get, words)) for words in split[first:k + 1]]
                 first, size = k + 1, 0
         return encoded
 
@@ -213,11 +252,56 @@ def packed(ids: list[int]) -> bytes:
 _STRETCH = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
+#: In front of a word that is a stretch in marked form already.
+MARK_FORM = "\x00\n"
+
+#: Characters at the end of a longer piece, and the lengths of shorter ones.
+TAIL, _SHORT = 4, (3, 2, 1)
+
+
+def _words(text: str) -> list[str]:
+    """Parts of a text that are encoded on their own, cheaply: at single blanks and line feeds.
+
+    A part is what follows a blank (a mark), or a line feed with what follows it. Texts with
+    blanks side by side, or marks of their own, are split in marked form.
+    """
+    if not text:
+        return []
+    apart = text.replace("\n", " \n") if "\n" in text else text
+    if "  " in apart or apart[0] == " " or apart[-1] == " " or MARK in text or "\x00" in text:
+        return [MARK_FORM + s for s in _STRETCH.findall(marked(text))]
+    return apart.split(" ")
+
+
+def _stretches(word: str) -> list[str]:
+    if word.startswith(MARK_FORM):
+        return [word[len(MARK_FORM):]]
+    return ["\n", word[1:]] if word[0] == "\n" and len(word) > 1 else [word] if word == "\n" else [MARK + word]
+
+
+def _plain(ids: dict[str, int], byte_ids: list[int], piece: str) -> list[int]:
+    return [ids[piece]] if piece in ids else [byte_ids[b] for b in piece.encode()]
+
+
 def marked(text: str) -> str:
     """A text as the model sees it: a mark in front and in place of each blank."""
     return MARK + text.replace(" ", MARK) if text else ""
 
 
+def decode_all(pieces: Pieces, packed_ids: list[bytes]) -> list[str]:
+    """The texts of packed ids, gathered from the pieces' bytes for all of them at once."""
+    blob, starts, lengths = pieces.gather
+    ids = np.frombuffer(b"".join(packed_ids), "<u4").astype(np.int64)
+    n = lengths[ids]
+    ends = np.cumsum(n)
+    body = blob[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[ids] - ends + n, n)].tobytes()
+    until = np.append(0, ends)[np.cumsum([len(v) // 4 for v in packed_ids])].tolist()
+    texts = []
+    for a, b in zip([0, *until[:-1]], until, strict=True):
+        texts.append(body[a + (body[a:a + 1] == b" " and b > a):b].decode("utf-8", "replace"))
+    return texts
+
+
 def decode(pieces: Pieces, ids: bytes) -> str:
     """The text of packed ids, without the blank that encoding puts in front."""
     body = b"".join(map(pieces.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -333,7 +417,7 @@ def trace(pieces: Pieces, chunk: Chunk, entry: int, exit_: int) -> bytes:
     head = _walk(pieces, chunk.text, at, low, next(iter(at[low])))
     tail = Chunk(chunk.text, high, chunk.end, True, chunk.last)
     at = reached(pieces, tail, [START], chunk.end)
-    return head + pieces.encode([chunk.text[low:high]])[0] + _walk(pieces, chunk.text, at, chunk.end + behind, k)
+    return head + pieces.encode_marked(chunk.text[low:high]) + _walk(pieces, chunk.text, at, chunk.end + behind, k)
 
 
 def _walk(pieces: Pieces, text: str, at: dict, end: int, k: int) -> bytes:
@@ -368,7 +452,7 @@ def _small_ids(docs: DataFrame, shared, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared()
         for batch in batches:
-            ids = pieces.encode([marked(t or "") for t in batch.column("text").to_pylist()])
+            ids = pieces.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
@@ -450,21 +534,31 @@ def _giants(docs: DataFrame, shared, name: str) -> DataFrame:
     return giants.join(found, row).select(*docs.columns, name)
 
 
+def _refuse(df: DataFrame, name: str) -> None:
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"there is a column {name} already")
+
+
 def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
     """``docs`` with a column ``name``: the ids of each whole text, without special ids, packed
     as little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids. Rows are independent of each other, so repeated rows get
     equal ids; an empty table gives an empty result. All columns pass through; ``name`` must not
-    be among them.
+    be among them, else ValueError.
     """
+    _refuse(docs, name)
     bound_batches(docs.sparkSession)
     shared = share(docs.sparkSession, Pieces.load(model_file))
     return _small_ids(docs.filter(~_is_giant(docs)), shared, name).union(_giants(docs, shared, name))
 
 
 def decoded(df: DataFrame, model_file: str, ids: str, name: str) -> DataFrame:
-    """``df`` with a column ``name``: the text of the packed ids in column ``ids``."""
+    """``df`` with a column ``name``: the text of the packed ids in column ``ids``.
+
+    Null ids give an empty text; a column ``name`` that is there already gives ValueError.
+    """
+    _refuse(df, name)
     bound_batches(df.sparkSession)
     shared = share(df.sparkSession, Pieces.load(model_file))
     schema = df.select("*", F.lit(None).cast("string").alias(name)).schema
@@ -472,7 +566,7 @@ def decoded(df: DataFrame, model_file: str, ids: str, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared()
         for batch in batches:
-            texts = [decode(pieces, v) for v in batch.column(ids).to_pylist()]
+            texts = decode_all(pieces, [v or b"" for v in batch.column(ids).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
@@ -484,7 +578,8 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
     ``ids`` are packed as :func:`encode` packs them: little-endian unsigned 32-bit integers.
     ``ids_crc32`` is the unsigned crc32 of these bytes.
     ``round_trip`` compares with the text, a null one as empty and a mark in it as a blank, as
-    the model reads it.
+    the model reads it. Repeated rows get equal reports, an empty table gives none; other columns
+    than doc_id and text are not read.
     """
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -492,7 +587,10 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
     shared = share(docs.sparkSession, Pieces.load(model_file))
 
     def report(batch: pa.RecordBatch, texts: list[str], ids: list[bytes]) -> pa.RecordBatch:
-        same = [decode(shared(), v) == t.replace(MARK, " ") for v, t in zip(ids, texts, strict=True)]
+        same = []
+        for a in range(0, len(ids), DECODE_ROWS):
+            back = decode_all(shared(), ids[a:a + DECODE_ROWS])
+            same += [x == t.replace(MARK, " ") for x, t in zip(back, texts[a:a + DECODE_ROWS], strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(v) // 4 for v in ids], pa.int64()),
              pa.array(map(zlib.crc32, ids), pa.int64()), pa.array(same, pa.bool_()), pa.array(ids, pa.binary())],
@@ -503,7 +601,7 @@ def encoding_report(docs: DataFrame, model_file: str) -> DataFrame:
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            yield report(batch, texts, shared().encode([marked(t) for t in texts]))
+            yield report(batch, texts, shared().encode(texts))
 
     def giant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -135,3 +135,40 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
     docs = documents(spark, [])
     files = token_files.write_token_files(docs, str(tmp_path / "none"), WORDS)
     assert token_files.file_report(docs, files).collect() == []
+
+
+def test_a_name_that_is_taken(spark):
+    import pytest
+
+    docs = documents(spark, ODD)
+    with pytest.raises(ValueError, match="already"):
+        lattice.encode(docs, PIECES)
+    with pytest.raises(ValueError, match="already"):
+        lattice.decoded(docs, PIECES, "ids", "text")
+
+
+def test_generations_of_memory_keep_results():
+    pieces = lattice.Pieces.load(PIECES)
+    texts = [prose(k % 7, 300, vocabulary=50 + k) + "\n" + "  two  blanks \x00 ▁" * (k % 2) for k in range(40)]
+    want = [lattice.packed(lattice_model().encode(t)) for t in texts]
+    lattice_words = lattice.CACHE_WORDS
+    try:
+        lattice.CACHE_WORDS = 20
+        assert [pieces.encode([t])[0] for t in texts] == want
+    finally:
+        lattice.CACHE_WORDS = lattice_words
+    assert lattice.decode_all(pieces, want) == [t.replace(lattice.MARK, " ") for t in texts]
+
+
+def lattice_model():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def test_other_kinds_of_models_are_refused():
+    import public_tokenizers
+    import pytest
+
+    with pytest.raises(ValueError, match="lower-case"):
+        token_files.load_encoder(public_tokenizers.path("byte_bpe_50k.json"))
