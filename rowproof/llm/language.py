@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowproof.llm.ngrams import buckets, gram_hashes, slices
-from rowproof.llm.text import bound_batches, remainder, share
-from rowproof.session import settle
+from rowproof.llm.text import bound_batches, free_name, remainder, share
+from rowproof.session import settle, settle_measured
 
 BITS = 13
 ORDERS = (1, 2, 3)
@@ -34,8 +34,8 @@ CENTROIDS = 4
 REJECT_SHARE = 0.5
 FULL_GRAMS = 1000
 
-#: Languages whose centroids one broadcast may hold (128 KB each).
-MOST_LANGUAGES = 2000
+#: Languages whose centroids are shared at once (128 KB each); more are compared block by block.
+BLOCK_LANGUAGES = 500
 
 UNDETERMINED = "und"
 
@@ -114,6 +114,8 @@ def _clustered(vectors: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
+    """The centroids of one block of languages."""
+
     idf: np.ndarray
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # buckets x centroids
@@ -132,8 +134,33 @@ class LanguageModel:
         return self.languages[best], score, score < near_enough
 
 
-def fit_languages(docs: DataFrame) -> LanguageModel:
-    """Fit to the texts with a language whose crc32(doc_id) mod 4 is not 2."""
+@dataclass(frozen=True)
+class Languages:
+    """Fitted centroids as a table (block, lang, centroid, least), however many languages."""
+
+    idf: np.ndarray
+    table: DataFrame
+    blocks: int
+
+    def models(self) -> Iterator[LanguageModel]:
+        """One block after the other, which bounds what is shared with tasks at a time."""
+        for k in range(self.blocks):
+            found = self.table.filter(F.col("block") == k).select("lang", "centroid", "least").collect()
+            rows = sorted(found, key=lambda r: (r["lang"], bytes(r["centroid"])))
+            centroids = [np.frombuffer(bytes(r["centroid"]), np.float32) for r in rows]
+            yield LanguageModel(
+                self.idf, [r["lang"] for r in rows],
+                np.ascontiguousarray(np.stack(centroids, axis=1)) if rows else np.zeros((1 << BITS, 0), np.float32),
+                np.array([r["least"] for r in rows]),
+            )
+
+
+def fit_languages(docs: DataFrame) -> Languages:
+    """Fit to the texts with a language whose crc32(doc_id) mod 4 is not 2.
+
+    Any number of languages is learned: their centroids are a table in blocks of about
+    BLOCK_LANGUAGES. Null languages and texts are not learned from.
+    """
     bound_batches(docs.sparkSession)
     learned = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 4) != 2)
@@ -141,9 +168,8 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
     seen, texts = _document_frequencies(learned.select("text"))
     idf = (np.log((1 + texts) / (1 + seen)) + 1).astype(np.float32)
 
-    sizes = settle(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
-    if sizes.count() > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} values of lang")
+    sizes, measured = settle_measured(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    blocks = max(1, math.ceil(measured["rows"] / BLOCK_LANGUAGES))
     spread = F.pmod(F.xxhash64("doc_id", F.lit("language")), 1 << 30)
     # About twice the sample by hash, then exactly the smallest hashes.
     near = learned.join(sizes, "lang").withColumn("_h", spread).filter(
@@ -175,54 +201,58 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
         )
 
     fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, least double")
-    rows = sorted(fitted.collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
-    centroids = [np.frombuffer(bytes(r["centroid"]), np.float32) for r in rows]
-    return LanguageModel(
-        idf,
-        [r["lang"] for r in rows],
-        np.ascontiguousarray(np.stack(centroids, axis=1)) if rows else np.zeros((1 << BITS, 0), np.float32),
-        np.array([r["least"] for r in rows]),
-    )
+    block = F.pmod(F.xxhash64("lang", F.lit("block")), F.lit(blocks)).cast("int")
+    return Languages(idf, settle(fitted.withColumn("block", block), "centroids"), blocks)
+
+
+_BEST = "struct<lang:string,score:double,rejected:boolean>"
+
 
+def _compared(docs: DataFrame, languages: Languages, name: str) -> DataFrame:
+    """``docs`` with a column ``name``: the nearest language of all blocks, its cosine, and
+    whether the text is rejected. Of equal cosines the first language in order wins."""
+    kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
+    rows = docs.withColumn(name, F.lit(None).cast(_BEST))
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    def against(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grams, fitted = Grams(), shared()
+            for batch in batches:
+                best = []
+                for text, old in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist(), strict=True):
+                    lang, score, rejected = fitted.predict(grams, text)
+                    new = {"lang": lang, "score": score, "rejected": bool(rejected)}
+                    if old is None or old["lang"] == UNDETERMINED or (lang != UNDETERMINED and (-score, lang) < (-old["score"], old["lang"])):
+                        old = new
+                    best.append(old)
+                others = [c for c in batch.schema.names if c != name]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(best, kind)], [*others, name])
+        return run
+
+    for model in languages.models():
+        rows = rows.mapInArrow(against(share(docs.sparkSession, model)), rows.schema)
+    return rows
+
+
+def identify(docs: DataFrame, languages: Languages) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) for every row.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected, and so is
     everything when no language was learned. Ties go to the first language in order. Repeated
-    rows are judged alike.
+    rows are judged alike, very long texts whole; an empty table gives an empty result; only
+    ``doc_id`` and ``text`` are read.
     """
     bound_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
-    key = docs.schema["doc_id"].dataType.simpleString()
-    shared = share(docs.sparkSession, model)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), (remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
+    return _compared(docs, languages, "_best").select(
+        "doc_id", "held_out", F.col("_best.lang").alias("lang_pred"), F.col("_best.score").alias("score"), F.col("_best.rejected").alias("rejected"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, fitted = Grams(), shared()
-        for batch in batches:
-            found = [fitted.predict(grams, t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"),
-                 pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64()),
-                 pa.array([bool(f[2]) for f in found], pa.bool_())],
-                ["doc_id", "held_out", "lang_pred", "score", "rejected"],
-            )
 
-    return docs.mapInArrow(
-        run, f"doc_id {key}, held_out boolean, lang_pred string, score double, rejected boolean"
-    )
+def keep_identified(docs: DataFrame, languages: Languages) -> DataFrame:
+    """The documents whose language is not rejected, with their columns as they were.
 
-
-def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents whose language is not rejected, with their columns as they were."""
+    Null texts and texts without a letter are rejected; repeated rows stay or go alike.
+    """
     bound_batches(docs.sparkSession)
-    shared = share(docs.sparkSession, model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, fitted = Grams(), shared()
-        for batch in batches:
-            kept = [not fitted.predict(grams, t)[2] for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(kept, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    name = free_name(docs, "_best")
+    return _compared(docs, languages, name).filter(~F.col(f"`{name}`.rejected")).drop(name)

@@ -140,3 +140,38 @@ def test_repeated_ids_and_labels_teach_once(spark):
 
     sample = labelled_sample(docs, known, "quality", 1000).collect()
     assert len(sample) == len({r.doc_id for r in sample}) == sum(fold(k, 5) != 0 for k in range(10))
+
+
+@pytest.mark.parametrize("block", [500, 3])
+def test_more_languages_than_one_block_holds(spark, monkeypatch, block):
+    # Eight languages with letters of their own; blocks of three give the same as one block.
+    rows = [(100 * k + j, " ".join(chr(97 + 3 * k + (j + i) % 3) * 4 for i in range(60)), f"l{k}") for k in range(8) for j in range(30)]
+    docs = documents(spark, rows + [(9000, "", None), (9001, None, None), (9002, "1 2 3", None)])
+    monkeypatch.setattr(language, "BLOCK_LANGUAGES", block)
+    fitted = language.fit_languages(docs)
+    assert fitted.blocks == (1 if block == 500 else 3)
+    found = {r.doc_id: r for r in language.identify(docs, fitted).collect()}
+    assert all(found[i].lang_pred == lang for i, _, lang in rows)
+    assert {found[i].lang_pred for i in (9000, 9001, 9002)} == {"und"}
+    kept = language.keep_identified(docs, fitted)
+    assert kept.columns == docs.columns and kept.count() == len(rows)
+
+
+def test_scores_equal_a_plain_computation(spark):
+    rows = [(k, " ".join(WORDS[lang][(k + i) % len(WORDS[lang])] for i in range(40)), lang) for k, lang in enumerate(["en", "de"] * 20)]
+    docs = documents(spark, rows)
+    fitted = language.fit_languages(docs)
+    model = next(fitted.models())
+    learned = [t for i, t, _ in rows if fold(i, 4) != 2]
+    buckets = lambda t: language.Grams()(t)
+    seen = sum((buckets(t) > 0).astype(int) for t in learned)
+    idf = np.log((1 + len(learned)) / (1 + seen)) + 1
+    for r in language.identify(docs, fitted).collect():
+        counts = buckets(dict((i, t) for i, t, _ in rows)[r.doc_id])
+        vector = np.where(counts > 0, (1 + np.log(np.maximum(counts, 1))) * idf, 0)
+        cosines = (vector / np.linalg.norm(vector)) @ model.centroids
+        assert r.lang_pred == model.languages[int(np.argmax(cosines))]
+        assert abs(r.score - cosines.max()) < 1e-4
+
+
+WORDS = {"en": "the quick brown fox jumps over lazy dogs while reading".split(), "de": "der schnelle braune fuchs springt über faule hunde beim lesen".split()}
