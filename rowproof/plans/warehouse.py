@@ -31,7 +31,7 @@ from rowproof.plans.staging import SOURCE_SCHEMA, stage_star
 from rowproof.session import prepare, scratch_scope, settle, settle_measured
 from rowproof.sources.csv import read_csv_text
 from rowproof.sources.listing import latest_file
-from rowproof.sources.tables import Slices, TableStore
+from rowproof.sources.tables import EMPTY_VERSION, Slices, TableStore
 
 
 @dataclass(frozen=True, eq=False)
@@ -96,6 +96,39 @@ def read_dim(spark: SparkSession, store: TableStore, dim: Dimension) -> DataFram
     return store.read(spark, dim.table, dim.schema)
 
 
+# Versions of tables whose natural key is known to be unique, by store and table.
+_UNIQUE: dict[tuple[object, str, tuple[str, ...]], object] = {}
+
+
+def has_unique_key(spark: SparkSession, store: TableStore, dim: Dimension) -> bool:
+    """Whether no natural key occurs twice in a dimension.
+
+    Tested once for each version of the table; versions that :func:`load_dim` writes need no
+    test, since it keeps a unique key unique. Stores without versions are never taken for unique.
+    """
+    version = _version(spark, store, dim)
+    if version is None:
+        return False
+    place = (store, dim.table, dim.natural_key)
+    if _UNIQUE.get(place) != version:
+        keys = store.read(spark, dim.table, dim.schema, columns=list(dim.natural_key))
+        repeated = keys.dropna().groupBy(*[named(k) for k in dim.natural_key]).count().filter("count > 1")
+        if not repeated.isEmpty():
+            return False
+        _UNIQUE[place] = version
+    return True
+
+
+def _version(spark: SparkSession, store: TableStore, dim: Dimension) -> object:
+    version = getattr(store, "version", None)
+    return version(spark, dim.table) if version else None
+
+
+def _read_dims(spark: SparkSession, store: TableStore, *dims: Dimension) -> tuple[list[DataFrame], bool]:
+    """Dimensions, and whether lookups must guard against repeated keys."""
+    return [read_dim(spark, store, d) for d in dims], not all(has_unique_key(spark, store, d) for d in dims)
+
+
 def load_dim(
     spark: SparkSession,
     store: TableStore,
@@ -113,6 +146,8 @@ def load_dim(
     if not keep_null_keys:
         rows = rows.dropna(subset=list(dim.natural_key))
     existing = read_dim(spark, store, dim)
+    before, place = _version(spark, store, dim), (store, dim.table, dim.natural_key)
+    unique = before is not None and (before == EMPTY_VERSION or _UNIQUE.get(place) == before)
     fresh = new_rows(one_per_key(rows, dim.natural_key), existing, dim.natural_key)
     if dim.id_column is None or store.assigns_ids:
         return counted_write(fresh, lambda df: store.append(df, dim.table))
@@ -122,6 +157,8 @@ def load_dim(
         last = existing.agg(F.max(dim.id_column)).first()[0] or 0
         numbered = assign_ids(fresh, dim.id_column, dim.natural_key, start=last)
         store.append(numbered, dim.table)
+        if unique:
+            _UNIQUE[place] = _version(spark, store, dim)
     return added
 
 
@@ -140,19 +177,21 @@ def load_dims(
         return {table: load.result() for table, load in running.items()}
 
 
-def city_rows(df: DataFrame, state_dim: DataFrame) -> DataFrame:
-    """Adds the id of the state."""
-    return lookup(df, state_dim, {"state": "state"}, {"state_id": "state_id"}, unique=True)
+def city_rows(df: DataFrame, state_dim: DataFrame, guarded: bool = True) -> DataFrame:
+    """Adds the id of the state. ``guarded`` lookups never multiply rows, whatever the table."""
+    return lookup(df, state_dim, {"state": "state"}, {"state_id": "state_id"}, unique=guarded)
 
 
-def location_rows(df: DataFrame, state_dim: DataFrame, city_dim: DataFrame) -> DataFrame:
+def location_rows(
+    df: DataFrame, state_dim: DataFrame, city_dim: DataFrame, guarded: bool = True
+) -> DataFrame:
     """Adds the ids of state and city; a city is identified together with its state."""
     return lookup(
-        city_rows(df, state_dim),
+        city_rows(df, state_dim, guarded),
         city_dim,
         {"city": "city", "state_id": "state_id"},
         {"city_id": "city_id"},
-        unique=True,
+        unique=guarded,
     )
 
 
@@ -162,23 +201,24 @@ def vehicle_rows(
     model_dim: DataFrame,
     primary_use_dim: DataFrame,
     electric_utility_dim: DataFrame,
+    guarded: bool = True,
 ) -> DataFrame:
     """Replaces the descriptive texts by the ids of their dimensions."""
-    df = lookup(df, make_dim, {"make": "make"}, {"make_id": "make_id"}, unique=True)
-    df = lookup(df, model_dim, {"model": "model"}, {"model_id": "model_id"}, unique=True)
+    df = lookup(df, make_dim, {"make": "make"}, {"make_id": "make_id"}, unique=guarded)
+    df = lookup(df, model_dim, {"model": "model"}, {"model_id": "model_id"}, unique=guarded)
     df = lookup(
         df,
         primary_use_dim,
         {"primary_use": "primary_use"},
         {"primary_use_id": "primary_use_id"},
-        unique=True,
+        unique=guarded,
     )
     df = lookup(
         df,
         electric_utility_dim,
         {"electric_utility": "electric_utility_name"},
         {"electric_utility_id": "electric_utility_id"},
-        unique=True,
+        unique=guarded,
     )
     return df.drop("make", "model", "primary_use", "electric_utility")
 
@@ -210,7 +250,8 @@ def with_references(
 def load_city_dim(
     spark: SparkSession, store: TableStore, staged: DataFrame, on_missing: str = "fail"
 ) -> int:
-    rows = city_rows(staged, read_dim(spark, store, STATE))
+    (states,), guarded = _read_dims(spark, store, STATE)
+    rows = city_rows(staged, states, guarded)
     found = with_references(spark, store, rows, ["state_id"], on_missing, CITY.table)
     return load_dim(spark, store, CITY, found)
 
@@ -218,7 +259,8 @@ def load_city_dim(
 def load_location_dim(
     spark: SparkSession, store: TableStore, staged: DataFrame, on_missing: str = "fail"
 ) -> int:
-    rows = location_rows(staged, read_dim(spark, store, STATE), read_dim(spark, store, CITY))
+    (states, cities), guarded = _read_dims(spark, store, STATE, CITY)
+    rows = location_rows(staged, states, cities, guarded)
     ids = ["city_id", "state_id"]
     found = with_references(spark, store, rows, ids, on_missing, LOCATION.table)
     return load_dim(spark, store, LOCATION, found)
@@ -236,8 +278,8 @@ def load_vehicle_dim(
         "electric_utility_id",
     ),
 ) -> int:
-    dims = [read_dim(spark, store, d) for d in (MAKE, MODEL, PRIMARY_USE, ELECTRIC_UTILITY)]
-    rows = vehicle_rows(staged, *dims)
+    dims, guarded = _read_dims(spark, store, MAKE, MODEL, PRIMARY_USE, ELECTRIC_UTILITY)
+    rows = vehicle_rows(staged, *dims, guarded=guarded)
     found = with_references(spark, store, rows, required_ids, on_missing, VEHICLE.table)
     return load_dim(spark, store, VEHICLE, found)
 
@@ -246,32 +288,35 @@ def load_time_dim(spark: SparkSession, store: TableStore, days: DataFrame) -> in
     return load_dim(spark, store, TIME, days)
 
 
-def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def fact_rows(
+    staged: DataFrame, dims: Mapping[str, DataFrame], guarded: bool = True
+) -> DataFrame:
     """Staged transactions with the ids of all dimensions; no row is lost or multiplied, even
-    where a table written by others repeats a key.
+    where a table written by others repeats a key, unless ``guarded`` is off. Without the guard
+    each lookup is a join with the table's files, whose size the planner knows.
 
     Small dimensions come first, so that rows are narrow when the vehicle lookup, the one
     that may need a shuffle, is reached.
     """
-    df = location_rows(staged, dims["state_dim"], dims["city_dim"])
+    df = location_rows(staged, dims["state_dim"], dims["city_dim"], guarded)
     place = {"city_id": "city_id", "state_id": "state_id", "county": "county"}
-    df = lookup(df, dims["location_dim"], place, {"location_id": "location_id"}, unique=True)
+    df = lookup(df, dims["location_dim"], place, {"location_id": "location_id"}, unique=guarded)
     df = lookup(
         df,
         dims["transaction_type_dim"],
         {"transaction_type": "transaction_type"},
         {"transaction_type_id": "transaction_type_id"},
-        unique=True,
+        unique=guarded,
     )
     flags = {flag: flag for flag in FEE_FLAGS}
-    df = lookup(df, dims["fee_dim"], flags, {"fee_id": "fee_id"}, unique=True)
+    df = lookup(df, dims["fee_dim"], flags, {"fee_id": "fee_id"}, unique=guarded)
     narrow = df.drop("city", "state", "county", "city_id", "state_id", *FEE_FLAGS)
     return lookup(
         narrow,
         dims["vehicle_dim"],
         {"dol_vehicle_id": "dol_vehicle_id"},
         {"vehicle_id": "vehicle_id"},
-        unique=True,
+        unique=guarded,
     )
 
 
@@ -297,8 +342,8 @@ def load_fact(
     if null_keys not in ("whole_row", "equal", "new"):
         raise ValueError("null_keys must be 'whole_row', 'equal' or 'new'")
     tables = (STATE, CITY, LOCATION, TRANSACTION_TYPE, FEE, VEHICLE)
-    dims = {dim.table: read_dim(spark, store, dim) for dim in tables}
-    rows = fact_rows(staged, dims)
+    frames, guarded = _read_dims(spark, store, *tables)
+    rows = fact_rows(staged, {dim.table: df for dim, df in zip(tables, frames)}, guarded)
     if on_missing:
         rows = with_references(spark, store, rows, required_ids, on_missing, table)
     types = {field.name: field.dataType for field in schema}

@@ -81,6 +81,21 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(hadoop_path).getLength()
 
 
+def stored_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of all files below a folder."""
+    file_system, hadoop_path = _located(spark, path)
+    summary = file_system.getContentSummary(hadoop_path)
+    return summary.getFileCount(), summary.getLength()
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none when it does not exist."""
+    file_system, hadoop_path = _located(spark, folder)
+    if not file_system.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in file_system.listStatus(hadoop_path))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -122,6 +137,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             file_system.delete(hadoop_path, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder below the shared folder; nothing happens when it is not there."""
+    if not path.startswith(shared_dir(spark)):
+        raise ValueError(f"{path} is not in the shared folder")
+    file_system, hadoop_path = _located(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 

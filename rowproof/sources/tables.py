@@ -11,12 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rowproof.functions.columns import named_all
-from rowproof.session import path_exists, settle
+from rowproof.session import child_names, path_exists, settle, stored_files
 
 # SQL states of "no such table" in common databases.
 MISSING_TABLE_STATES = {"42S02", "42P01", "42X05", "S0002"}
 
 
+#: The version of a table that holds nothing.
+EMPTY_VERSION = (0, 0)
+
+
+class MixedLayout(ValueError):
+    """A table holds files beside its slices; readers of slices would pass over them."""
+
+
 class TableStore(Protocol):
     """Where dimensions, facts and ledgers live."""
 
@@ -88,13 +96,30 @@ class ParquetStore:
             df = df.filter(slices.condition)
         return _only(df, schema, columns)
 
+    def version(self, spark: SparkSession, table: str) -> tuple[int, int]:
+        """Number and bytes of a table's files; an append changes it."""
+        if not path_exists(spark, self.path(table)):
+            return EMPTY_VERSION
+        return stored_files(spark, self.path(table))
+
     def append(self, df: DataFrame, table: str, slices: Slices | None = None) -> None:
+        """Raises :class:`MixedLayout` where slices would come beside files without slices, or
+        the other way round: such a table cannot be read."""
+        self._check_layout(df.sparkSession, table, slices)
         if slices and slices.name not in df.columns:
             df = slices.arranged(df)
         writer = df.write.mode("append")
         (writer.partitionBy(slices.name) if slices else writer).parquet(self.path(table))
 
 
+    def _check_layout(self, spark: SparkSession, table: str, slices: Slices | None) -> None:
+        names = child_names(spark, self.path(table))
+        sliced = [n for n in names if "=" in n]
+        plain = [n for n in names if n.endswith(".parquet")]
+        if (slices and plain) or (not slices and sliced):
+            raise MixedLayout(f"table {table} is kept {'with' if sliced else 'without'} slices")
+
+
 @dataclass(frozen=True)
 class JdbcStore:
     """Tables of a database. ``properties`` (user, password, driver) come from the caller.

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,13 @@ from rowproof.operators.blocks import BlockTotals
 from rowproof.operators.digests import DigestedTable, reconcile_digested
 from rowproof.operators.impute import fill_zero_from_group
 from rowproof.operators.keystore import DIGEST, KeyStore, split_repeats
+from rowproof.operators.lookup import lookup
 from rowproof.operators.maxima import MaintainedFill
 from rowproof.operators.novelty import reconcile
+from rowproof.plans import warehouse
+from rowproof.plans.sliced import load_dim_sliced
 from rowproof.sources.committed import CommittedStore
+from rowproof.sources.tables import MixedLayout, ParquetStore, Slices
 
 KEYS = schemas.schema_of("a bigint, b string")
 
@@ -135,3 +140,54 @@ def test_digests_equal_the_full_reconciliation(spark, tmp_path):
         assert found == reconcile(frame(a), frame(b), ["a", "b"]).first().asDict()
     with pytest.raises(ValueError):
         reconcile_digested(tables[0], DigestedTable(store, "t", PAIRS, ("a",), 32), spark)
+
+
+def test_uniqueness_is_tested_once_a_version(spark, tmp_path, monkeypatch):
+    store = ParquetStore(str(tmp_path))
+    dim = warehouse.Dimension("d", "id", ("name",), schemas.schema_of("id bigint, name string"))
+    rows = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
+    assert warehouse.has_unique_key(spark, store, dim)  # nothing is there
+    warehouse.load_dim(spark, store, dim, rows("a", "b", "b"))
+    # What the load wrote needs no test, and joins with it aggregate nothing.
+    monkeypatch.setattr(ParquetStore, "read", None)
+    assert warehouse.has_unique_key(spark, store, dim)
+    monkeypatch.undo()
+    plan = lookup(rows("a"), warehouse.read_dim(spark, store, dim), {"name": "name"}, {"id": "id"})
+    assert "Aggregate" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    # A table that others wrote to is tested again.
+    spark.createDataFrame([(9, "a")], dim.schema).write.mode("append").parquet(store.path("d"))
+    assert not warehouse.has_unique_key(spark, store, dim)
+    committed = CommittedStore(str(tmp_path / "c"))
+    warehouse.load_dim(spark, committed, dim, rows("x"))
+    assert warehouse.has_unique_key(spark, committed, dim)
+
+
+def test_layouts_are_not_mixed(spark, tmp_path):
+    store, rows = ParquetStore(str(tmp_path)), spark.createDataFrame([(1, "b")], KEYS)
+    store.append(rows, "t")
+    with pytest.raises(MixedLayout):
+        store.append(rows, "t", Slices("part", F.col("a")))
+    store.append(rows, "u", Slices("part", F.col("a")))
+    with pytest.raises(MixedLayout):
+        store.append(rows, "u")
+    assert store.read(spark, "u", KEYS).count() == 1
+
+
+def test_sliced_loads_at_once_store_each_member_once(spark, tmp_path):
+    store = CommittedStore(str(tmp_path))
+    dim = warehouse.Dimension("d", "id", ("name",), schemas.schema_of("id bigint, name string"))
+    rows = lambda a, b: spark.createDataFrame([(f"n{k}",) for k in range(a, b)] + [(None,)], "name string")
+    results = []
+
+    def load(a, b):
+        results.append(load_dim_sliced(spark, store, dim, rows(a, b), slices=4, blocks=2, lease_block=16))
+
+    loads = [threading.Thread(target=load, args=x) for x in ((0, 30), (20, 50))]
+    for t in loads:
+        t.start()
+    for t in loads:
+        t.join()
+    stored = store.read(spark, "d", dim.schema).collect()
+    assert sorted(r.name for r in stored) == sorted(f"n{k}" for k in range(50)) and len({r.id for r in stored}) == 50
+    assert sum(n for n, _ in results) == 50 and {unkeyed for _, unkeyed in results} == {1}
+    assert load_dim_sliced(spark, store, dim, rows(0, 50), slices=4, blocks=2) == (0, 1)
