@@ -10,6 +10,7 @@ part and one slot, whatever the number of documents.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import zlib
@@ -35,8 +36,14 @@ SHARD_BYTES = 8 * 1024 * 1024
 #: Keys in one part of the index, about.
 PART_KEYS = 4096
 
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 700_000
+#: Words in each of two generations whose ids a worker remembers.
+CACHE_WORDS = 600_000
+
+#: Punctuation that may close a word.
+CLOSING = b".,!?;:"
+
+#: Words of letters that are encoded as one text.
+JOINED_WORDS = 200
 
 #: Bytes of texts that are split at once.
 SPLIT_BYTES = 4_000_000
@@ -52,7 +59,9 @@ class WordEncoder:
 
     definition: str
     width: str
+    ends: np.ndarray  # whether an id closes a word
     memory: dict[bytes, bytes] = field(default_factory=dict)
+    older: dict[bytes, bytes] = field(default_factory=dict)
     tokenizer: object = None
 
     def _ready(self) -> None:
@@ -63,25 +72,69 @@ class WordEncoder:
             self.tokenizer = Tokenizer.from_str(self.definition)
 
     def _library(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
+    def _joined(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are letters alone, many in one text: an id that closes a word ends
+        each. Should a text hold more words than went in, its words are encoded one by one."""
+        found: list[bytes] = []
+        groups = [words[k:k + JOINED_WORDS] for k in range(0, len(words), JOINED_WORDS)]
+        texts = [b" ".join(group).decode("utf-8", "replace") for group in groups]
+        wide = np.dtype(self.width).itemsize
+        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(encoded.ids, self.width)
+            until = (np.flatnonzero(self.ends[ids]) + 1) * wide
+            if len(until) != len(group) or until[-1] != len(ids) * wide:
+                found += self._library(group)
+                continue
+            packed = ids.tobytes()
+            found += [packed[a:b] for a, b in zip([0, *until[:-1].tolist()], until.tolist(), strict=True)]
+        return found
+
     def _learn(self, words: set[bytes]) -> None:
-        """Only words whose lower-cased stem without closing dots and commas is new are encoded."""
-        memory, plain, stems = self.memory, [], {}
+        """Only words whose stem without closing punctuation is new are encoded, ASCII ones in
+        lower case. The tokenizer splits letters from what follows them."""
+        memory, older, plain = self.memory, self.older, []
+        bare, closed = {}, {}  # stems of words, and of words with closing punctuation
         for word in words:
-            stem, tail = word, b""
-            if word.isascii() and word[-1:] in (b".", b",") and word[:-1].isalpha():
-                stem, tail = word[:-1], word[-1:]
-            if stem.isascii() and stem.isalpha():
-                stems[word] = (stem.lower(), tail)
+            stem = word.rstrip(CLOSING)
+            if stem.isalpha():  # ASCII letters alone
+                low = stem.lower()
+            elif not stem.isascii() and (text := stem.decode("utf-8", "replace")).isalpha() and text.lower().isalpha():
+                low = stem
             else:
                 plain.append(word)
-        new = [s for s in {s for s, _ in stems.values()} | {t for _, t in stems.values() if t} if s not in memory]
-        memory.update(zip(new, self._library(new), strict=True))
+                continue
+            if len(stem) == len(word):
+                bare[word] = low
+            else:
+                closed[word] = low, word[len(stem):]
+        new = []
+        for stem in {*bare.values(), *(low for low, _ in closed.values())}:
+            if stem not in memory:
+                if (ids := older.get(stem)) is not None:
+                    memory[stem] = ids
+                else:
+                    new.append(stem)
+        memory.update(zip(new, self._joined(new), strict=True))
         memory.update(zip(plain, self._library(plain), strict=True))
-        for word, (stem, tail) in stems.items():
-            memory[word] = memory[stem] + (memory[tail] if tail else b"")
+        tails = list({tail for _, tail in closed.values()})
+        ends = dict(zip(tails, self._library(tails), strict=True))
+        get = memory.__getitem__
+        memory.update(zip(bare, map(get, bare.values()), strict=True))
+        memory.update({word: memory[stem] + ends[tail] for word, (stem, tail) in closed.items()})
+
+    def _remember(self, words: set[bytes]) -> None:
+        """Make all ``words`` known. A full memory becomes the older generation, from which words
+        that are met again come back, so that frequent ones stay."""
+        if len(self.memory) > CACHE_WORDS:
+            self.memory, self.older = {}, self.memory
+        missing = words.difference(self.memory)
+        known = missing.intersection(self.older)
+        self.memory.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        if len(missing) > len(known):
+            self._learn(missing - known)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Payload of each text, without an end."""
@@ -91,11 +144,7 @@ class WordEncoder:
             size += len(text)
             if size >= SPLIT_BYTES or k + 1 == len(texts):
                 split = [t.split() for t in texts[first:k + 1]]
-                if len(self.memory) > CACHE_WORDS:
-                    self.memory.clear()
-                missing = {w for w in set().union(*split) if w not in self.memory}
-                if missing:
-                    self._learn(missing)
+                self._remember(set().union(*split))
                 get = self.memory.__getitem__
                 encoded += [b"".join(map(get, words)) for words in split]
                 first, size = k + 1, 0
@@ -103,11 +152,20 @@ class WordEncoder:
 
 
 def load_encoder(tokenizer_file: str) -> WordEncoder:
+    """Raises ValueError for a tokenizer that does not lower-case and split at blanks, or does not
+    mark the ends of words: words could not be encoded on their own."""
     from tokenizers import Tokenizer
 
     definition = Path(tokenizer_file).read_text(encoding="utf-8")
-    ids = Tokenizer.from_str(definition).get_vocab(with_added_tokens=True).values()
-    return WordEncoder(definition, "<u2" if max(*ids, END_ID) < 1 << 16 else "<u4")
+    tokenizer = Tokenizer.from_str(definition)
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    mark = json.loads(definition)["model"].get("end_of_word_suffix")
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    if not mark or ids("Ab  cD.\nx") != ids("ab") + ids("cd") + ids(".") + ids("x"):
+        raise ValueError("the tokenizer must lower-case, drop blanks and mark the ends of words")
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[k for token, k in vocab.items() if token.endswith(mark)]] = True
+    return WordEncoder(definition, "<u2" if max(*vocab.values(), END_ID) < 1 << 16 else "<u4", ends)
 
 
 def _shard_writer(shared):
@@ -344,7 +402,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str) -> TokenF
     bound_batches(spark)
     encoder = load_encoder(tokenizer_file)
     shared = share(spark, encoder)
-    # The row number spreads copies of one row over tasks.
+
+    # The row number spreads copies of one row over tasks. Texts are moved and encoded in their
+    # new places: packed ids take as much room in a shuffle as compressed texts do.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "_h", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
     ordered = rows.repartitionByRange("doc_id", "_h", "_row").sortWithinPartitions("doc_id", "_h", "_row")
