@@ -207,16 +207,11 @@ class Pieces:
         """
         if len(self.known) > CACHE_WORDS:
             self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, {}
-        for word in words:
-            if word not in known:
-                ids = older.get(word)
-                if ids is None:
-                    new[word] = _stretches(word)
-                else:
-                    known[word] = ids
-        if new:
-            self._learn(new)
+        missing = words.difference(self.known)
+        met = missing.intersection(self.older)
+        self.known.update(zip(met, map(self.older.__getitem__, met), strict=True))
+        if len(missing) > len(met):
+            self._learn({word: _stretches(word) for word in missing - met})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts, each from its first node to its last."""
