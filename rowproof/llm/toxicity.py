@@ -164,10 +164,13 @@ def train(rows: Iterator[tuple[str, int]]) -> tuple[float, dict[bytes, float]]:
     if not len(y):
         return -50.0, {}
     bags = [words_of(t) for t in texts]
-    lexicon = sorted({w.encode() for w in LEXICON} | set(mined_terms(bags, y)))
+    # Two thirds of the labels mine voters and anchor the model. It estimates how good and how
+    # alike voters are with the labels of the last third unseen, and judges all by votes alone.
+    seen = np.arange(len(y)) % 3 != 2
+    terms = mined_terms([b for b, s in zip(bags, seen, strict=True) if s], y[seen])
+    lexicon = sorted({w.encode() for w in LEXICON} | set(terms))
     cast = np.array([votes(t, b, lexicon) for t, b in zip(texts, bags, strict=True)], np.int64)
-    # Half of the labels anchor the model; it judges the other half by the votes alone.
-    known = np.where(np.arange(len(y)) % 2 == 0, y, -1)
+    known = np.where(seen, y, -1)
     target = fit_label_model(cast, known).posterior(cast)
     return _linear(bags, target)
 
