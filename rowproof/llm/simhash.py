@@ -242,6 +242,11 @@ def near_duplicates(docs: DataFrame, *carried: str) -> DataFrame:
     reachable, null if there is none. Repeated rows each keep their row; an empty table gives
     an empty result; columns other than ``doc_id``, ``text`` and the carried ones are not read.
     """
+    return _classified(docs, *carried).select("doc_id", *carried, "fp", "component_id")
+
+
+def _classified(docs: DataFrame, *carried: str) -> DataFrame:
+    """:func:`near_duplicates` with ``root``, which names a component also where no row has an id."""
     marked = settle(fingerprints(docs, *carried), "fingerprints")
     smallest = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     distinct, seen = settle_measured(smallest, "distinct")
@@ -252,8 +257,8 @@ def near_duplicates(docs: DataFrame, *carried: str) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = settle(rooted.join(roots, "root").select("fp", "component_id"), "classes")
-    return marked.join(classes, "fp").select("doc_id", *carried, "fp", "component_id")
+    classes = settle(rooted.join(roots, "root").select("fp", "root", "component_id"), "classes")
+    return marked.join(classes, "fp")
 
 
 def as_hex(fp: Column) -> Column:
@@ -281,3 +286,21 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         return kept.select(docs.columns)
     kept = kept.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     return kept.join(single, ["doc_id", digest], "left_anti").select(docs.columns)
+
+
+def one_row_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with exactly one row of each component: one with the smallest doc_id.
+
+    Rows without a doc_id come behind all others of their component; which of several rows with
+    the smallest doc_id stays is decided by their number. Texts without words are one component.
+    An empty table gives an empty result; all columns pass through, whatever their names.
+    """
+    row = free_name(docs, "_row")
+    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = settle(_classified(numbered, row).select("doc_id", row, "root"), "judged")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(row).alias("row")))
+    # A hot component is one row per task before the shuffle; most rows are alone in theirs.
+    several = found.groupBy("root").agg(least.alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = settle(several.select(F.col("root").alias("_root"), F.col("kept.row").alias("_kept")), "several")
+    removed = found.join(several, found["root"] == several["_root"]).filter(F.col(row) != F.col("_kept"))
+    return numbered.join(settle(removed.select(row), "removed"), row, "left_anti").select(docs.columns)

@@ -101,3 +101,15 @@ def test_one_of_each_keeps_a_document_of_every_class(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []
     assert simhash.one_of_each(documents(spark, [])).collect() == []
+
+
+def test_one_row_of_each_component(spark):
+    a, b = prose(21, 60), prose(22, 60)
+    rows = [*ODD, (30, a), (29, a), (29, a), (None, a), (None, b), (None, b), (40, a + " "), (41, None), (41, None)]
+    docs = documents(spark, rows).repartition(3)
+    kept = simhash.one_row_of_each(docs)
+    assert kept.columns == docs.columns
+    found = kept.select("doc_id", "text").collect()
+    assert sorted((r.doc_id for r in found), key=str) == sorted([1, None, 4, 5, 6, 8, 9, 10, 11, 29, None], key=str)
+    assert {r.text for r in found if r.doc_id is None} == {"no name here", b}
+    assert simhash.one_row_of_each(docs.limit(0)).collect() == []
