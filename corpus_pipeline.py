@@ -15,8 +15,8 @@ from rowproof.llm.decontaminate import remove_contaminated
 from rowproof.llm.language import fit_languages, keep_identified
 from rowproof.llm.piece_lattice import encoding_report
 from rowproof.llm.quality_model import fit_quality, keep_quality
-from rowproof.llm.simhash import one_of_each
-from rowproof.session import prepare, settle
+from rowproof.llm.simhash import one_row_of_each
+from rowproof.session import prepare, remove, scratch_path, scratch_scope, settle  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -34,8 +34,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id."""
-    return one_of_each(docs)
+    """One row of each near-duplicate group: one with the smallest doc_id."""
+    return one_row_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +61,20 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written to the shared folder and read again."""
+    """All stages in order, each written to the shared folder and read again.
+
+    What a stage settled on its way, and the documents it read, are removed once its own output
+    is written. The last stage is read lazily, so its input stays.
+    """
     prepare(spark, sf_dir)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
