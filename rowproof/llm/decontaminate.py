@@ -25,49 +25,64 @@ WINDOW = 13
 #: Words in one suffix array; a longer document is cut into overlapping pieces.
 SHARD_WORDS = 2_000_000
 
-#: Benchmark text that one search block may hold in memory; a larger benchmark is searched
-#: block after block.
-BLOCK_BYTES = 32 * 1024 * 1024
+#: Words of benchmark text that one search block may hold in memory (about 300 bytes each while
+#: it is built, 110 when it is shared); a larger benchmark is searched block after block.
+BLOCK_WORDS = 1_000_000
 
 MATCHES = "array<struct<item_id:string,doc_start:bigint,item_start:bigint,n_words:bigint>>"
 FOUND = f"struct<n_words:bigint,hits:array<struct<first:bigint,past:bigint>>,matches:{MATCHES}>"
 
 
 class TestSuffixes:
-    """Numbered, packed and sorted windows of one block of benchmark items."""
+    """Numbered, packed and sorted windows of one block of benchmark items.
+
+    Windows are rows of word numbers, padded behind; equal ones are one entry with all its places.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]]):
         self.names = sorted({name for name, _ in items})
         self.vocabulary: dict[bytes, int] = {}
         number = {name: k for k, name in enumerate(self.names)}
-        at: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        numbered = []
         for name, text in items:
-            words = [
-                self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-                for w in text.translate(ALNUM_WORDS).split()
-            ]
-            length = min(WINDOW, len(words))
-            for start in range(len(words) - length + 1 if words else 0):
-                at.setdefault(tuple(words[start:start + length]), []).append((number[name], start))
-        self.lengths = np.array([len(w) for w in at], np.int64)
+            words = text.translate(ALNUM_WORDS).split()
+            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
+            if ids:
+                numbered.append((number[name], np.array(ids, np.int32)))
         self.bits = max(1, len(self.vocabulary).bit_length())
         self.per_key = max(1, 62 // self.bits)
-        self.low = self._packed([w + (0,) * (WINDOW - len(w)) for w in at])
         top = (1 << self.bits) - 1
-        self.high = self._packed([w + (top,) * (WINDOW - len(w)) for w in at])
-        self.first_pairs = np.unique(
-            np.array([w[0] << self.bits | w[1] for w in at if len(w) > 1], np.int64)
-        )
-        self.single = np.unique(np.array([w[0] for w in at if len(w) == 1], np.int64))
+        # All items in a row, each followed by padding, so that a window is a slice.
+        n = np.array([len(w) for _, w in numbered], np.int64)
+        length = np.minimum(n, WINDOW)
+        flat = np.zeros(int(n.sum()) + WINDOW * len(numbered), np.int32)
+        begin = np.cumsum(n + WINDOW) - (n + WINDOW)
+        for (_, words), b in zip(numbered, begin.tolist(), strict=True):
+            flat[b:b + len(words)] = words
+        count = n - length + 1
+        owner = np.repeat(np.arange(len(numbered)), count)
+        start = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        at, size = begin[owner] + start, length[owner] if len(owner) else np.zeros(0, np.int64)
+        keys = [*self.keys(lambda j: flat[at + j].astype(np.int64) * (j < size), len(at)), size]
+        order = np.lexsort(keys[::-1])
+        new = np.ones(len(order), bool)
+        if len(order):
+            new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+        entry, first = np.flatnonzero(new), order[new]
+        self.lengths = size[first]
+        self.low = [k[first] for k in keys[:-1]]
+        words_of = lambda j: np.where(j < self.lengths, flat[at[first] + j].astype(np.int64), top)
+        self.high = self.keys(words_of, len(first))
+        second = np.minimum(at[first] + 1, max(0, len(flat) - 1))
+        pairs = flat[at[first]].astype(np.int64) << self.bits | flat[second] if len(first) else np.zeros(0, np.int64)
+        self.first_pairs = np.unique(pairs[self.lengths > 1])
+        self.single = np.unique(flat[at[first][self.lengths == 1]]).astype(np.int64)
         # Places of each window in the items, one list after the other.
-        self.n_places = np.array([len(v) for v in at.values()], np.int64)
+        self.n_places = np.diff(np.append(entry, len(order)))
         self.place_from = np.concatenate(([0], np.cumsum(self.n_places))).astype(np.int64)
-        flat = np.array([p for v in at.values() for p in v], np.int64).reshape(-1, 2)
-        self.place_item, self.place_start = flat[:, 0], flat[:, 1]
-
-    def _packed(self, windows: list[tuple[int, ...]]) -> list[np.ndarray]:
-        columns = np.array(windows, np.int64).reshape(-1, WINDOW)
-        return self.keys(lambda j: columns[:, j], len(columns))
+        items_of = np.array([k for k, _ in numbered], np.int64)
+        self.place_item = items_of[owner[order]] if len(order) else np.zeros(0, np.int64)
+        self.place_start = start[order]
 
     def keys(self, column, rows: int) -> list[np.ndarray]:
         """The first words of each suffix, several to a sort key."""
@@ -215,12 +230,13 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
     items = benchmark.select(
         F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("item_id"),
         benchmark["text"].cast("binary").alias("body"),
-    ).filter("body IS NOT NULL")
-    stored = items.agg(F.coalesce(F.sum(F.length("body") + 64), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, math.ceil(stored / BLOCK_BYTES))
+        F.regexp_count(benchmark["text"].cast("string"), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).alias("n"),
+    ).filter("n > 0")
+    words = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, math.ceil(words / BLOCK_WORDS))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     for k in range(blocks):
-        yield [(r["item_id"], bytes(r["body"])) for r in items.filter(block == k).collect()]
+        yield [(r["item_id"], bytes(r["body"])) for r in items.filter(block == k).select("item_id", "body").collect()]
 
 
 def _searched(docs: DataFrame, tests: TestSuffixes, name: str, again: bool) -> DataFrame:
@@ -266,8 +282,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, name: str = "_foun
     is one window. Null and empty texts have no words and no findings; items without words
     match nothing; rows that repeat are judged alike; an item id that repeats counts once, a
     null one as empty text; empty tables give empty results. All columns of ``docs`` pass
-    through; ``name`` must not be among them.
+    through; ``name`` must not be among them, else ValueError. Very long texts are searched whole.
     """
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {name} already")
     bound_batches(docs.sparkSession)
     found, again = docs, False
     for items in _blocks(benchmark):
@@ -301,6 +319,10 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with their columns as they were."""
+    """The documents that are not contaminated, with their columns as they were.
+
+    Null and empty texts stay, rows that repeat stay or go alike, an empty benchmark removes
+    nothing; any column names are allowed.
+    """
     name = free_name(docs, "_found")
     return find_contamination(docs, benchmark, name).filter(~contaminated(name)).drop(name)

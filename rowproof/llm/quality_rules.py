@@ -9,7 +9,7 @@ the time only: a text is kept when no rule rejects it.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import count
@@ -104,7 +104,7 @@ class Rule:
     rejects: Callable[[Page], bool]
 
 
-#: What every text must satisfy first.
+#: What every text must satisfy in any case.
 BASE_RULES = (
     Rule("too_short", lambda p: p.n_words < 50),
     Rule("repeated_words", lambda p: 100 * p.n_repeat_words > 50 * p.n_words),
@@ -118,6 +118,13 @@ CASCADE_RULES = (
     Rule("word_length", lambda p: not 2 * p.n_words <= p.word_chars <= 25 * p.n_words),
 )
 
+RULES = BASE_RULES + CASCADE_RULES
+
+
+def stopped_by(page: Page, rules: Sequence[Rule]) -> str | None:
+    """The first rule that rejects; rules behind it are not asked."""
+    return next((r.name for r in rules if r.rejects(page)), None)
+
 
 def measure(docs: DataFrame, rules: tuple[Rule, ...], rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Seconds of each rule and its verdicts over a sample, one row per document."""
@@ -135,7 +142,6 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...], rows: int) -> tuple[np.nda
                 own, verdicts = [], []
                 for rule in rules:
                     page = Page(text)  # each rule is timed as if it came first
-                    page.words  # noqa: B018  words are needed by all
                     began = time.perf_counter()
                     verdicts.append(bool(rule.rejects(page)))
                     own.append(time.perf_counter() - began)
@@ -164,16 +170,62 @@ def cascade_order(seconds: np.ndarray, rejected: np.ndarray) -> list[int]:
     return order
 
 
+def _ordered(docs: DataFrame) -> tuple[Rule, ...]:
+    """All rules, by rejection per cost on a sample of these documents."""
+    order = list(cascade_order(*measure(docs, RULES, SAMPLE_ROWS)))
+    order += [k for k in range(len(RULES)) if k not in order]
+    return tuple(RULES[k] for k in order)
+
+
+def cascade(docs: DataFrame) -> DataFrame:
+    """(doc_id, kept, stopped_by) of every document: the verdict, and the rule at which it ended.
+
+    A text is asked for nothing behind the rule that rejects it. Which rule that is depends on
+    the measured order where several reject; the verdict does not. Null and empty texts have no
+    words and are rejected, very long ones are judged whole; repeated rows and ties of rules
+    are judged alike; an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+    """
+    bound_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+    rules = _ordered(docs)
+    key = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [stopped_by(Page(text), rules) for text in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([e is None for e in ends]), pa.array(ends, pa.string())],
+                ["doc_id", "kept", "stopped_by"])
+
+    return docs.mapInArrow(run, f"doc_id {key}, kept boolean, stopped_by string")
+
+
+def keep_quality_texts(docs: DataFrame) -> DataFrame:
+    """The documents that no rule rejects, with their columns as they were."""
+    bound_batches(docs.sparkSession)
+    rules = _ordered(docs.select("doc_id", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [stopped_by(Page(text), rules) is None for text in utf8(batch.column("text"))]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge_quality(docs: DataFrame) -> DataFrame:
-    """Counts of each text, whether a base rule fails, and whether the text is kept.
+    """The verdict of the cascade, and then the counts of each text for a report.
+
+    The verdict comes first and stops early; the counts, whether a base rule fails, and the
+    first rule in the order of RULES that rejects a rejected text are worked out afterwards.
 
-    Null and empty texts have no words, so the base rejects them. Repeated rows are judged
-    alike, an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+    Null and empty texts have no words, so the base rejects them; very long texts are judged
+    whole. Repeated rows are judged alike, an empty table gives an empty result; only ``doc_id``
+    and ``text`` are read.
     """
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    order = cascade_order(*measure(docs, CASCADE_RULES, SAMPLE_ROWS))
-    rules = tuple(CASCADE_RULES[k] for k in order)
+    rules = _ordered(docs)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key}, {', '.join(f'{c} bigint' for c in counts)}, base_failed boolean, kept boolean, failed_rule string"
@@ -181,17 +233,17 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: dict[str, list] = {c: [] for c in counts}
-            base_failed, failed = [], []
+            base_failed, kept, failed = [], [], []
             for text in utf8(batch.column("text")):
                 page = Page(text)
+                kept.append(stopped_by(page, rules) is None)
                 for c in counts:
                     columns[c].append(getattr(page, c))
-                base = next((r.name for r in BASE_RULES if r.rejects(page)), None)
-                base_failed.append(base is not None)
-                failed.append(base or next((r.name for r in rules if r.rejects(page)), None))
+                base_failed.append(stopped_by(page, BASE_RULES) is not None)
+                failed.append(None if kept[-1] else stopped_by(page, RULES))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(columns[c], pa.int64()) for c in counts),
-                 pa.array(base_failed), pa.array([f is None for f in failed]), pa.array(failed, pa.string())],
+                 pa.array(base_failed), pa.array(kept), pa.array(failed, pa.string())],
                 ["doc_id", *counts, "base_failed", "kept", "failed_rule"],
             )
 

@@ -179,13 +179,14 @@ def _quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(docs, quality_model.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-# Every page address seen on one of these domains is on the list of blocked addresses.
-LISTED_DOMAINS = ("spam-farm.example.org", "cheap-pills.example.com")
+# Every address that some page was reached at by a tracked link is on the list of blocked
+# addresses; other pages of the same hosts are not.
+TRACKED = "utm_source="
 
 
 @query("op10_url_filter", r"""
     WITH p AS (
-        SELECT page_id,
+        SELECT page_id, coalesce(url LIKE '%utm_source=%', FALSE) AS tracked,
                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
@@ -198,8 +199,7 @@ LISTED_DOMAINS = ("spam-farm.example.org", "cheap-pills.example.com")
     ),
     c AS (SELECT *, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '') END AS key FROM b),
     listed AS (
-        SELECT DISTINCT key FROM c
-        WHERE '.' || host LIKE '%.spam-farm.example.org' OR '.' || host LIKE '%.cheap-pills.example.com'
+        SELECT DISTINCT key FROM c WHERE tracked
     ),
     r AS (
         SELECT *, CASE
@@ -218,11 +218,7 @@ LISTED_DOMAINS = ("spam-farm.example.org", "cheap-pills.example.com")
 """)
 def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    host = url_filter.host_of(F.col("url"))
-    on_list = F.lit(False)
-    for domain in LISTED_DOMAINS:
-        on_list |= F.concat(F.lit("."), host).endswith("." + domain)
-    return url_filter.judge_urls(pages, pages.filter(on_list).select("url"))
+    return url_filter.judge_urls(pages, pages.filter(F.col("url").contains(TRACKED)).select("url"))
 
 
 @query("op11_token_alignment")

@@ -56,7 +56,7 @@ def test_equals_brute_force(spark):
 def test_long_documents_in_pieces_and_benchmarks_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(d, "SHARD_WORDS", 17)
     assert report(spark) == plain(ROWS, ITEMS)
-    monkeypatch.setattr(d, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(d, "BLOCK_WORDS", 40)
     assert report(spark) == plain(ROWS, ITEMS)
 
 
@@ -79,3 +79,20 @@ def test_removal_keeps_clean_rows_and_columns(spark):
 def test_empty_tables(spark):
     assert report(spark, rows=[]) == []
     assert report(spark, items=[]) == plain(ROWS, [])
+
+
+def test_a_block_is_small_in_memory():
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    items = [(str(k), prose(k, 5_000, vocabulary=60_000).encode()) for k in range(200)]
+    tests = d.TestSuffixes(items)  # a million words, as many as a block holds
+    assert len(tests.lengths) > 990_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 700_000  # KB
+
+
+def test_a_name_that_is_taken(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="already"):
+        d.find_contamination(documents(spark, ROWS), benchmark(spark), "FP")

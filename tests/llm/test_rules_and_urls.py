@@ -1,5 +1,10 @@
+from pathlib import Path
+
+import pytest
+
 from rowproof.llm import quality_rules as q
 from rowproof.llm import url_filter as u
+from rowproof.llm.queries import QUERIES
 
 from llm_samples import ODD, documents, prose
 
@@ -106,3 +111,41 @@ def test_empty_pages_and_list(spark):
     none = spark.createDataFrame([], "url string")
     assert u.judge_urls(pages.limit(0), none).collect() == []
     assert {r.verdict for r in u.judge_urls(pages, none).collect() if r.rule is None} == {"allow"}
+
+
+def test_false_positives_are_removed_by_the_exact_join(spark, monkeypatch):
+    pages = spark.range(2000).selectExpr("id AS page_id", "concat('http://h', id % 7, '.net/p/', id) AS url")
+    listed = pages.filter("page_id % 10 = 0").select("url")
+    # One block for all keys: its bits are nearly all set.
+    monkeypatch.setattr(u, "KEYS_PER_BLOCK", 1000)
+    keys = listed.select(u.canonical(u.host_of(u.F.col("url")), u.path_of(u.F.col("url"))).alias("key"))
+    bloom = u.build_filter(keys, 1)
+    asked = pages.select("page_id", u.canonical(u.host_of(u.F.col("url")), u.path_of(u.F.col("url"))).alias("key"))
+    passed = asked.crossJoin(bloom).filter(u.may_hold(u.F.col("words"), u.F.col("key"))).count()
+    assert passed > 200  # hits and false positives
+    blocked = {r.page_id for r in u.judge_urls(pages, listed).collect() if r.verdict == "block"}
+    assert blocked == set(range(0, 2000, 10))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="given tables are not here")
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_the_list_decides_pages_at_every_scale(spark, scale):
+    found = QUERIES["op10_url_filter"](spark, f"/root/testdata/sf{scale}").filter("rule IS NULL").groupBy("host").agg(
+        u.F.count_if(u.F.col("verdict") == "block").alias("blocked"), u.F.count(u.F.lit(1)).alias("n")).collect()
+    assert sum(r.blocked for r in found) > 0
+    if scale != "0.001":  # not by host alone
+        assert any(0 < r.blocked < r.n for r in found)
+
+
+def test_cascade_measures_all_rules_and_stops_early(spark, monkeypatch):
+    rows = ODD + [(30, prose(1, 200)), (31, "a b c d " * 40), (33, prose(3, 60) + " |" * 40)]
+    found = q.cascade(documents(spark, rows)).collect()
+    assert {r.name for r in q.RULES} >= {r.stopped_by for r in found if r.stopped_by} and len(q.RULES) == 6
+    verdicts = sorted((str(r.doc_id), r.kept) for r in q.judge_quality(documents(spark, rows)).collect())
+    assert sorted((str(r.doc_id), r.kept) for r in found) == verdicts
+    # A page that the first rule rejects is asked for nothing else.
+    page = q.Page(b"one two")
+    assert q.stopped_by(page, q.RULES) == "too_short"
+    assert set(vars(page)) == {"text", "words"}
+    assert q.keep_quality_texts(documents(spark, rows)).columns == documents(spark, rows).columns
+    assert q.cascade(documents(spark, [])).collect() == []
