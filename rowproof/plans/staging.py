@@ -136,9 +136,21 @@ def stage_star(spark: SparkSession, df: DataFrame) -> dict[str, DataFrame]:
     return staged
 
 
-def stage_days(facts: DataFrame) -> DataFrame:
-    """Calendar from the first to the last year in which a fact was dealt or sold."""
-    days = ("transaction_date", "sale_date")
+# Years that a calendar may cover; a mistyped date must not make it grow without end.
+FIRST_YEAR, LAST_YEAR = 1900, 2100
+_FACT_DAYS = ("transaction_date", "sale_date")
+
+
+def _plausible(day: str, first_year: int, last_year: int) -> Column:
+    return F.when(F.year(day).between(first_year, last_year), F.col(day))
+
+
+def stage_days(facts: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+    """Calendar from the first to the last year in which a fact was dealt or sold.
+
+    Dates outside ``first_year`` to ``last_year`` do not widen it; :func:`days_outside` counts them.
+    """
+    days = [_plausible(day, first_year, last_year) for day in _FACT_DAYS]
     bounds = facts.agg(
         F.least(*[F.min(day) for day in days]).alias("first"),
         F.greatest(*[F.max(day) for day in days]).alias("last"),
@@ -146,3 +158,10 @@ def stage_days(facts: DataFrame) -> DataFrame:
     first = F.make_date(F.year("first"), F.lit(1), F.lit(1))
     last = F.make_date(F.year("last"), F.lit(12), F.lit(31))
     return with_calendar_parts(days_between(bounds, first, last))
+
+
+def days_outside(facts: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+    """One row: how many facts have each date outside the years of the calendar."""
+    return facts.agg(*[
+        F.count_if(F.col(day).isNotNull() & _plausible(day, first_year, last_year).isNull()).alias(day) for day in _FACT_DAYS
+    ])

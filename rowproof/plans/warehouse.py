@@ -5,12 +5,12 @@ Every load keeps the natural key of its dimension unique, so lookups never multi
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping, MutableMapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -135,14 +135,19 @@ def load_dim(
     dim: Dimension,
     incoming: DataFrame,
     keep_null_keys: bool = False,
+    left_out: MutableMapping[str, int] | None = None,
 ) -> int:
     """Append the rows whose natural key is new; returns how many.
 
-    Each new key is loaded once. Where the store does not number rows itself, ids go on
+    Rows with a key part that is null, or cannot be read as its type, are left out; their number
+    is put in ``left_out`` under the table's name. Each new key is loaded once. Where the store does not number rows itself, ids go on
     from the largest one present, in the order of the natural key.
     """
     types = {field.name: field.dataType for field in dim.schema}
     rows = incoming.select(*[named(c).try_cast(types[c]).alias(c) for c in dim.columns])
+    watched = Observation()
+    if left_out is not None:
+        rows = rows.observe(watched, F.count_if(has_null(dim.natural_key)).alias("unkeyed"))
     if not keep_null_keys:
         rows = rows.dropna(subset=list(dim.natural_key))
     existing = read_dim(spark, store, dim)
@@ -150,9 +155,14 @@ def load_dim(
     unique = before is not None and (before == EMPTY_VERSION or _UNIQUE.get(place) == before)
     fresh = new_rows(one_per_key(rows, dim.natural_key), existing, dim.natural_key)
     if dim.id_column is None or store.assigns_ids:
-        return counted_write(fresh, lambda df: store.append(df, dim.table))
+        added = counted_write(fresh, lambda df: store.append(df, dim.table))
+        if left_out is not None:
+            left_out[dim.table] = watched.get["unkeyed"]
+        return added
     fresh, measured = settle_measured(fresh, "new-members")
     added = measured["rows"]
+    if left_out is not None:
+        left_out[dim.table] = watched.get["unkeyed"]
     if added:
         last = existing.agg(F.max(dim.id_column)).first()[0] or 0
         numbered = assign_ids(fresh, dim.id_column, dim.natural_key, start=last)
@@ -163,7 +173,10 @@ def load_dim(
 
 
 def load_dims(
-    spark: SparkSession, store: TableStore, staged: Mapping[Dimension, DataFrame]
+    spark: SparkSession,
+    store: TableStore,
+    staged: Mapping[Dimension, DataFrame],
+    left_out: MutableMapping[str, int] | None = None,
 ) -> dict[str, int]:
     """Load dimensions that do not refer to each other, side by side.
 
@@ -171,7 +184,9 @@ def load_dims(
     """
     with ThreadPoolExecutor(max_workers=max(1, len(staged))) as pool:
         running = {
-            dim.table: pool.submit(copy_context().run, load_dim, spark, store, dim, rows)
+            dim.table: pool.submit(
+                copy_context().run, load_dim, spark, store, dim, rows, False, left_out
+            )
             for dim, rows in staged.items()
         }
         return {table: load.result() for table, load in running.items()}

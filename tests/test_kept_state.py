@@ -15,7 +15,7 @@ from rowproof.operators.keystore import DIGEST, KeyStore, split_repeats
 from rowproof.operators.lookup import lookup
 from rowproof.operators.maxima import MaintainedFill
 from rowproof.operators.novelty import reconcile
-from rowproof.plans import warehouse
+from rowproof.plans import staging, warehouse
 from rowproof.plans.sliced import load_dim_sliced
 from rowproof.sources.committed import CommittedStore
 from rowproof.sources.tables import MixedLayout, ParquetStore, Slices
@@ -191,3 +191,20 @@ def test_sliced_loads_at_once_store_each_member_once(spark, tmp_path):
     assert sorted(r.name for r in stored) == sorted(f"n{k}" for k in range(50)) and len({r.id for r in stored}) == 50
     assert sum(n for n, _ in results) == 50 and {unkeyed for _, unkeyed in results} == {1}
     assert load_dim_sliced(spark, store, dim, rows(0, 50), slices=4, blocks=2) == (0, 1)
+
+
+@pytest.mark.parametrize("store_of", [ParquetStore, CommittedStore])
+def test_rows_without_a_key_are_counted(spark, tmp_path, store_of):
+    store = store_of(str(tmp_path))
+    rows = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c"), ("2", "d")], "n string, name string")
+    dim = warehouse.Dimension("d", "id", ("n",), schemas.schema_of("id bigint, n int, name string"))
+    bare = warehouse.Dimension("e", None, ("n",), schemas.schema_of("n int, name string"))
+    left_out = {}
+    assert warehouse.load_dims(spark, store, {dim: rows, bare: rows}, left_out) == {"d": 2, "e": 2}
+    assert left_out == {"d": 2, "e": 2}
+
+
+def test_a_stray_year_does_not_widen_the_calendar(spark):
+    facts = spark.sql("SELECT DATE'2020-05-04' AS transaction_date, DATE'9999-01-01' AS sale_date UNION ALL SELECT DATE'0001-01-01', NULL")
+    assert staging.stage_days(facts).count() == 366
+    assert tuple(staging.days_outside(facts).first()) == (1, 1)
