@@ -15,10 +15,12 @@ from rowproof.operators.keystore import DIGEST, KeyStore, split_repeats
 from rowproof.operators.lookup import lookup
 from rowproof.operators.maxima import MaintainedFill
 from rowproof.operators.novelty import reconcile
+from rowproof.operators.rules import required
 from rowproof.plans import staging, warehouse
 from rowproof.plans.sliced import load_dim_sliced
 from rowproof.sources.committed import CommittedStore
 from rowproof.sources.tables import MixedLayout, ParquetStore, Slices
+from rowproof.streaming.arrivals import validate_arrivals
 
 KEYS = schemas.schema_of("a bigint, b string")
 
@@ -208,3 +210,25 @@ def test_a_stray_year_does_not_widen_the_calendar(spark):
     facts = spark.sql("SELECT DATE'2020-05-04' AS transaction_date, DATE'9999-01-01' AS sale_date UNION ALL SELECT DATE'0001-01-01', NULL")
     assert staging.stage_days(facts).count() == 366
     assert tuple(staging.days_outside(facts).first()) == (1, 1)
+
+
+def test_the_stream_charges_a_row_delivered_in_two_files_once(spark, tmp_path):
+    folder, output = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    schema = schemas.schema_of("a int, b string")
+    store = CommittedStore(str(tmp_path / "store"))
+    seen = KeyStore(store, "seen", DIGEST, slices=4, blocks=2)
+
+    def run(checkpoint="c"):
+        validate_arrivals(spark, str(folder), schema, required(["b"]), output, str(tmp_path / checkpoint), seen=seen).awaitTermination()
+        valid = spark.read.parquet(f"{output}/valid").collect()
+        codes = spark.read.parquet(f"{output}/column_errors").collect()
+        return sorted(r.a for r in valid), sorted((str(r.processing_file_id), r.error_code) for r in codes)
+
+    (folder / "one.csv").write_text("a,b\n1,x\n2,y\n3,\n")
+    assert run() == ([1, 2], [("one.csv", 1001)])
+    (folder / "two.csv").write_text("a,b\n1,x\n4,z\n4,z\n")
+    expected = ([1, 2, 4], [("one.csv", 1001), ("two.csv", 1015), ("two.csv", 1015)])
+    assert run() == expected
+    # A stream that lost its checkpoint and replays batch 0 finds that batch done.
+    assert run("other") == expected
