@@ -325,3 +325,11 @@ def test_a_batch_reads_only_its_months_of_the_facts(spark, tmp_path, registratio
     assert re.search(r"PartitionFilters: \[[^\]]*transaction_month", plan)
     assert {r.transaction_date for r in old.collect()} == {datetime.date(1999, 5, 1)}
     assert store.read(spark, warehouse.FACT_TABLE, schemas.FACTS).columns == schemas.FACTS.names
+
+
+def test_rules_are_tried_once_and_their_findings_stored(spark):
+    rows = spark.createDataFrame([("1", "January 2 2020", None), ("1", "January 2 2020", None)], "County string, `Sale Date` string, Model string")
+    result = clean_registrations(rows, 1)
+    assert "size(_findings" in result.valid._jdf.queryExecution().optimizedPlan().toString()
+    assert result.valid.columns == rows.columns
+    assert "_findings" not in result.validation.source.columns
