@@ -154,15 +154,13 @@ def split_repeats(seen: KeyStore, rows: DataFrame, names: Sequence[str]) -> tupl
     met for the first time. The digests are added to the open commit, so a batch that is
     repeated after a failure is judged as if it were new.
     """
-    rows = settle(rows.withColumn("digest", row_digest(names)), "digests")
-    new = seen.new_keys(rows)
-    others = [c for c in rows.columns if c not in (*names, "digest")]
-    order = F.struct(*named_all(others), F.monotonically_increasing_id().alias("_n"))
-    numbered = settle(rows.withColumn("_order", order), "numbered")
+    columns = rows.columns
+    order = F.struct(*named_all(c for c in columns if c not in names), F.monotonically_increasing_id().alias("_n"))
+    numbered = settle(rows.withColumns({"digest": row_digest(names), "_order": order}), "numbered")
+    new = seen.new_keys(numbered)
     firsts = numbered.groupBy("digest").agg(F.min("_order").alias("_least"))
     fresh = firsts.join(new, "digest").withColumnRenamed("digest", "_digest")
     marked = numbered.join(fresh, (F.col("digest") == F.col("_digest")) & (F.col("_order") == F.col("_least")), "left")
-    marked = settle(marked.select(*named_all(rows.columns), F.col("_digest").isNotNull().alias("_first")), "marked")
+    marked = settle(marked.select(*named_all(columns), F.col("_digest").isNotNull().alias("_first")), "marked")
     seen.add(new)
-    kept = [c for c in rows.columns if c != "digest"]
-    return marked.filter("_first").select(*named_all(kept)), marked.filter("NOT _first").select(*named_all(kept))
+    return marked.filter("_first").select(*named_all(columns)), marked.filter("NOT _first").select(*named_all(columns))
