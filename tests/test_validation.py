@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -173,6 +174,21 @@ def test_expand_copies_in_chunks(spark):
     assert {tuple(r) for r in got.collect()} == {("hot",) + (1000,) * 3, ("one", 1, 1, 1), ("ten",) + (10,) * 3}
 
 
+def test_rows_with_few_copies_are_numbered_without_a_second_shuffle(spark):
+    texts = spark.range(20_000).select(F.sha2((F.col("id") % 19_000).cast("string"), 512).alias("k"))
+    got = expand_copies(count_copies(texts))
+    assert (got.count(), got.distinct().count(), got.filter("ordinal = 2").count()) == (20_000, 20_000, 1000)
+
+    def shuffled(df):
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = lambda: {n for n in manager.getAllFiles().mkString("|").split("|") if n.endswith(".data") and "/shuffle_" in n}
+        before = files()
+        df.write.format("noop").mode("overwrite").save()
+        return sum(os.path.getsize(n) for n in files() - before)
+
+    assert 0 < shuffled(got) < 1.5 * shuffled(count_copies(texts))
+
+
 def test_one_per_key_is_deterministic(spark, rows):
     df = spark.createDataFrame(
         [(1, "b", 1), (1, "a", 2), (1, "a", 1), (2, None, 5), (2, "z", 0), (None, "q", 1)],
