@@ -58,7 +58,7 @@ class BlockTotals:
         """The last blocks that hold at least ``rows`` rows together."""
         later = Window.orderBy(F.desc(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
         reach = self.sums(spark).withColumn("_later", F.coalesce(F.sum("n").over(later), F.lit(0)))
-        return sorted(r[0] for r in reach.filter(F.col("_later") < rows).select(BLOCK).collect())
+        return sorted(r[0] for r in reach.filter(F.col("_later") < rows).select(BLOCK).toLocalIterator())
 
     def report(self, spark: SparkSession, total: str, blocks: Sequence[int]) -> DataFrame:
         """Rows of some blocks with the sum of ``value`` over all rows up to each."""

@@ -90,7 +90,7 @@ def reconcile_digested(source: DigestedTable, target: DigestedTable, spark: Spar
     keys = list(source.keys)
     ours, theirs = settle(source.digests(spark), "digests"), settle(target.digests(spark), "digests")
     # At most one number for each slice.
-    differ = sorted(r[0] for r in unequal(ours, theirs).collect())
+    differ = sorted(r[0] for r in unequal(ours, theirs).toLocalIterator())
     equal = ours.filter(~F.col("slice").isin(differ)).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("keyless"), F.lit(0)).alias("keyless"))
     if not differ:

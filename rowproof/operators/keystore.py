@@ -104,7 +104,7 @@ class KeyStore:
         asked = settle(batch.select(*named_all(self.names)).distinct(), "asked")
         maybe = settle(self.possible(asked), "possible")
         # At most one number for each slice.
-        slices = sorted(r[0] for r in maybe.select(SLICE).distinct().collect())
+        slices = sorted(r[0] for r in maybe.select(SLICE).distinct().toLocalIterator())
         if not slices:
             return asked
         stored = new_rows(maybe.drop(SLICE), self.open(spark, slices), self.names)

@@ -73,12 +73,12 @@ class MaintainedFill:
         rows = settle(rows.withColumn(ZERO, F.coalesce(named(self.value) == 0, F.lit(False))), "batch")
         own = settle(
             rows.dropna(subset=list(self.by)).groupBy(*named_all(self.by)).agg(F.max(named(self.value)).alias("_own")), "own-maxima")
-        met = sorted(r[0] for r in own.select(self._slice()).distinct().collect())
+        met = sorted(r[0] for r in own.select(self._slice()).distinct().toLocalIterator())
         before = settle(self.maxima(spark, met), "maxima-before")
         merged = settle(
             lookup(own, before, {n: n for n in self.by}, {MAXIMUM: "_before"}).withColumn(MAXIMUM, F.greatest("_own", "_before")), "merged")
         risen = merged.filter(F.col("_own").isNotNull() & (F.col("_before").isNull() | (F.col("_own") > F.col("_before"))))
-        again = sorted(r[0] for r in risen.filter("_before IS NOT NULL").select(self._slice()).distinct().collect())
+        again = sorted(r[0] for r in risen.filter("_before IS NOT NULL").select(self._slice()).distinct().toLocalIterator())
         with self.store.commit(spark) as commit:
             if again:
                 old = self.store.parts(spark, self.table, self._in(again))
